@@ -157,7 +157,7 @@ def _fixed_scores(b):
 
 def _held_out_scores(b, fit):
     train, validation = _parts(b)
-    return models.score(fit(train.persist()), validation).select(
+    return models.score(fit(train), validation).select(
         "user_id", "product_id", "reordered", "p"
     )
 
@@ -180,7 +180,7 @@ def calibrated_forest(b):
 
 
 def perceptron(b):
-    return _held_out_scores(b, lambda train: models.fit_perceptron(train, max_iter=15))
+    return _held_out_scores(b, lambda train: models.fit_perceptron(train, max_iter=8))
 
 
 def boosted_trees_early_stop(b):
@@ -218,7 +218,7 @@ def saved_model_scores(b):
 
 
 def model_comparison(b):
-    train, validation = (part.persist() for part in _parts(b))
+    train, validation = _parts(b)
     logistic = models.fit_logistic_regression(train, max_iter=100)
     boosted = _served_model(b)
     return models.model_comparison(
@@ -340,9 +340,7 @@ BASKET_QUERIES = {
     "feature_summary": lambda b: training.feature_summary(_final_without_factors(b)),
     "last_train_orders": lambda b: training.last_train_orders(b.train),
     "order_details": lambda b: training.order_details(b.train),
-    "training_set": lambda b: training.training_set(
-        pair.user_product_features(b.prior), b.train, rates.rate_tables(b.prior)
-    ),
+    "training_set": lambda b: training.training_set(b.pairs, b.train, b.rates),
     "label_distribution": lambda b: training.label_distribution(b.training_set),
     "split_rows": lambda b: training.with_split(b.training_set).select(
         "user_id", "product_id", "split"

@@ -3,37 +3,26 @@
 from pyspark.sql import functions as F
 
 
-def bin_edges(df, column, bins):
-    """Lowest value and bin width; equal bounds are widened by 0.5 each way."""
-    low, high = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
-    if low is None:
-        return None
-    if low == high:
-        low, high = low - 0.5, high + 0.5
-    return low, (high - low) / bins
-
-
 def histogram(df, column, bins):
     """Count per bin over [min, max], the last bin closed; empty bins count 0.
 
-    One aggregate finds the bounds, a second counts; nulls are left out.
+    Equal bounds are widened by 0.5 each way; nulls are left out. The bounds are
+    a scalar subquery, so it all stays one query.
     """
-    edges = bin_edges(df, column, bins)
-    spark = df.sparkSession
-    all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    if edges is None:
-        return all_bins.select(
-            "bin", F.lit(None).cast("double").alias("bin_centre"), F.lit(0).cast("long").alias("n")
-        )
-    low, width = edges
-    position = F.floor((F.col(column) - F.lit(low)) / F.lit(width))
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"))
+    values = df.select(F.col(column).cast("double").alias("value")).filter(
+        F.col("value").isNotNull()
+    )
+    low, high = F.min("value"), F.max("value")
+    margin = F.when(low == high, 0.5).otherwise(0.0)
+    bounds = values.agg(F.struct((low - margin).alias("low"), (high + margin).alias("high"))).scalar()
+    low, width = bounds["low"], (bounds["high"] - bounds["low"]) / F.lit(bins)
+    position = F.floor((F.col("value") - low) / width)
+    counts = values.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin")).agg(
+        F.count("*").alias("n")
     )
+    all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(counts, "bin", "left").select(
         "bin",
-        (F.lit(low) + (F.col("bin") + F.lit(0.5)) * F.lit(width)).alias("bin_centre"),
+        (low + (F.col("bin") + F.lit(0.5)) * width).alias("bin_centre"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )

@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trolley.functions.histogram import histogram
@@ -91,11 +92,9 @@ def target_distribution(**datasets):
             for name, df in datasets.items()
         ],
     )
-    totals = counts.groupBy("dataset").agg(F.sum("n").alias("total"))
-    return counts.join(totals, "dataset").select(
-        "dataset",
-        "reordered",
-        F.try_divide(F.col("n").cast("double"), F.col("total")).alias("percentage"),
+    total = F.sum("n").over(W.partitionBy("dataset"))  # over one row per label value
+    return counts.select(
+        "dataset", "reordered", (F.col("n").cast("double") / total).alias("percentage")
     )
 
 

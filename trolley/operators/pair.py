@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import ratio
+from trolley.functions.joins import lookup_join
 from trolley.functions.runs import ORDERS_PER_PIECE, longest_run, merge, summarise
 
 PAIR = ["user_id", "product_id"]
@@ -25,9 +26,17 @@ def _user_totals(prior):
     )
 
 
+def _with_user_totals(pairs, prior):
+    """Pairs with their user's totals; a user may hold most of the pairs."""
+    totals = _user_totals(prior)
+    return lookup_join(
+        pairs, totals, ["user_id"], ["product_id"], weights=totals, weight="user_lines", how="inner"
+    )
+
+
 def pair_order_rate(prior):
     """A pair's share of the user's lines (lines, not orders)."""
-    return interaction_counts(prior).join(_user_totals(prior), "user_id").select(
+    return _with_user_totals(interaction_counts(prior), prior).select(
         *PAIR, ratio("interaction_count", "user_lines").alias("u_p_order_rate")
     )
 
@@ -47,7 +56,7 @@ def pair_average_position(prior):
 def pair_orders_since_last(prior):
     """The user's last order number minus the last one with the product."""
     last = _pairs(prior).groupBy(*PAIR).agg(F.max("order_number").alias("last_order"))
-    return last.join(_user_totals(prior), "user_id").select(
+    return _with_user_totals(last, prior).select(
         *PAIR, (F.col("user_last_order") - F.col("last_order")).alias("u_p_orders_since_last")
     )
 
@@ -95,7 +104,7 @@ def user_product_features(prior, orders_per_piece=ORDERS_PER_PIECE):
         F.max("last_order").alias("last_order"),
         merge(F.collect_list(F.struct("piece", "run")))["best"].alias("streak"),
     )
-    return pairs.join(_user_totals(prior), "user_id").select(
+    return _with_user_totals(pairs, prior).select(
         *PAIR,
         ratio("n", "user_lines").alias("u_p_order_rate"),
         ratio("reorders", "n").alias("u_p_reorder_rate"),

@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from trolley.functions.joins import lookup_join
+
 # Table name (also its value column) -> keys.
 RATE_KEYS = {
     "hour_reorder_rate": ["product_id", "order_hour_of_day"],
@@ -94,10 +96,16 @@ def _map_rate(name, key):
     return F.coalesce(F.when(F.col(key).isNotNull(), value), F.lit(0.0)).alias(name)
 
 
-def attach_product_rates(df, rates):
-    """Add the three product rates for the row's hour, day and gap; 0 if none."""
+def attach_product_rates(df, rates, weights):
+    """Add the three product rates for the row's hour, day and gap; 0 if none.
+
+    ``weights`` counts the rows per product (``per_key``).
+    """
     names = ["hour_reorder_rate", "day_reorder_rate", "p_days_since_prior_order_reorder_rate"]
-    return df.join(product_rate_maps(rates), "product_id", "left").select(
+    joined = lookup_join(
+        df, product_rate_maps(rates), ["product_id"], ["user_id"], weights=weights, weight="n"
+    )
+    return joined.select(
         *df.columns, *[_map_rate(name, RATE_KEYS[name][1]) for name in names]
     )
 

@@ -7,6 +7,7 @@ put side by side by a union and an aggregate, never by a cross join.
 
 from functools import reduce
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import first_match, lookup, ratio, round_even, title_case
@@ -234,9 +235,9 @@ def customer_segments(stats, rules=None, otherwise=OTHER_SEGMENT):
 def segment_sizes(segments):
     """Users and percent of all users per segment."""
     counts = segments.groupBy("segment").agg(F.count("*").alias("n"))
-    total = segments.count()
+    total = F.sum("n").over(W.partitionBy())  # over one row per segment
     return counts.select(
-        "segment", "n", (F.col("n") * 100.0 / F.lit(float(total))).alias("percentage")
+        "segment", "n", (F.col("n") * 100.0 / total).alias("percentage")
     ).orderBy(F.desc("n"), "segment")
 
 

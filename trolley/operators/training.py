@@ -2,9 +2,11 @@
 
 from dataclasses import dataclass
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import key_hash_below
+from trolley.functions.joins import lookup_join, per_key
 from trolley.operators.rates import attach_product_rates, attach_user_rate, pair_rates_at
 from trolley.schema import LABEL, MODEL_FEATURES, SPLIT_SEED, SPLIT_SHARE
 
@@ -13,10 +15,11 @@ KEYS = ["user_id", "product_id"]
 
 def final_features(pairs, users, products):
     """Pair features with the user's and the product's features."""
-    return pairs.join(users, "user_id", "left").join(products, "product_id", "left").select(
-        *pairs.columns,
-        *[c for c in users.columns if c != "user_id"],
-        *[c for c in products.columns if c != "product_id"],
+    with_users = lookup_join(
+        pairs, users, ["user_id"], ["product_id"], weights=per_key(pairs, "user_id"), weight="n"
+    )
+    return lookup_join(
+        with_users, products, ["product_id"], ["user_id"], weights=per_key(pairs, "product_id"), weight="n"
     )
 
 
@@ -71,7 +74,7 @@ def assemble(candidates, contexts, rates):
         .fillna(0.0, ["days_since_prior_reorder_rate"])
         .join(per_user, "user_id")
     )
-    return attach_product_rates(joined, rates)
+    return attach_product_rates(joined, rates, weights=per_key(candidates, "product_id"))
 
 
 def training_set(pairs, train, rates):
@@ -87,10 +90,8 @@ def training_set(pairs, train, rates):
 def label_distribution(df):
     """Rows and share per label value."""
     counts = df.groupBy(LABEL).agg(F.count("*").alias("n"))
-    total = df.count()
-    return counts.select(
-        LABEL, "n", F.try_divide(F.col("n").cast("double"), F.lit(total)).alias("share")
-    )
+    total = F.sum("n").over(W.partitionBy())  # over one row per label value
+    return counts.select(LABEL, "n", (F.col("n").cast("double") / total).alias("share"))
 
 
 def with_split(df, share=SPLIT_SHARE, seed=SPLIT_SEED):

@@ -9,6 +9,7 @@ in the range the rate tables use.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trolley.functions.joins import lookup_join
 from trolley.schema import AISLES, DEPARTMENTS, ORDER_PRODUCTS, ORDERS, PRODUCTS
 from trolley.sources.tables import with_schema
 
@@ -117,8 +118,12 @@ def order_lines(lineitem, orders, part):
     placed = distinct_lines.withColumn("add_to_cart_order", position).join(
         orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id"
     )
-    first = placed.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_order"))
-    return placed.join(first, ["user_id", "product_id"]).select(
+    pair = ["user_id", "product_id"]
+    first = placed.groupBy(*pair).agg(
+        F.min("order_number").alias("first_order"), F.count("*").alias("n")
+    )
+    with_first = lookup_join(placed, first, pair, ["order_id"], weights=first, weight="n", how="inner")
+    return with_first.select(
         "order_id",
         "product_id",
         "add_to_cart_order",
