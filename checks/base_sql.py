@@ -1,15 +1,19 @@
 """Basket tables as SQL over the star schema, written with plain windows."""
 
 BASE = """
-WITH part_groups AS (
-  SELECT p_partkey, p_name, p_type, regexp_extract(p_name, '[^ ]*$') AS aisle,
-         min(p_partkey) OVER (PARTITION BY p_name, p_type) AS product_id,
-         min(p_partkey) OVER (PARTITION BY regexp_extract(p_name, '[^ ]*$')) AS aisle_id,
-         min(p_partkey) OVER (PARTITION BY p_type) AS department_id
+WITH described AS (
+  SELECT p_partkey, regexp_extract(p_name, '[^ ]*$') AS aisle, p_type AS department,
+         CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END || ' ' || regexp_extract(p_name, '[^ ]*$')
+           AS product_name
   FROM part),
+part_groups AS (
+  SELECT *, min(p_partkey) OVER (PARTITION BY product_name, department) AS product_id,
+         min(p_partkey) OVER (PARTITION BY aisle) AS aisle_id,
+         min(p_partkey) OVER (PARTITION BY department) AS department_id
+  FROM described),
 products_merged AS (
-  SELECT product_id, p_name AS product_name, CAST(aisle_id AS INTEGER) AS aisle_id,
-         CAST(department_id AS INTEGER) AS department_id, aisle, p_type AS department
+  SELECT product_id, product_name, CAST(aisle_id AS INTEGER) AS aisle_id,
+         CAST(department_id AS INTEGER) AS department_id, aisle, department
   FROM part_groups WHERE p_partkey = product_id),
 products AS (SELECT product_id, product_name, aisle_id, department_id FROM products_merged),
 ranked_orders AS (

@@ -113,7 +113,7 @@ cs AS (
   FROM pc GROUP BY 1),
 sg AS (
   SELECT user_id, CASE WHEN total_orders >= 12 AND avg_basket_size >= 4 THEN 'VIP Customers'
-                       WHEN total_orders >= 8 AND avg_reorder_rate >= 0.06 THEN 'Loyal Customers'
+                       WHEN total_orders >= 8 AND avg_reorder_rate >= 0.2 THEN 'Loyal Customers'
                        WHEN total_orders >= 5 THEN 'Regular Customers' ELSE 'New Customers' END AS segment
   FROM cs)
 """
@@ -245,7 +245,7 @@ _BODIES = {
     "product_reorder_rate": """SELECT product_id, CAST(sum(reordered) AS DOUBLE) / count(*)
         AS product_reorder_rate FROM pc GROUP BY 1""",
     "average_cart_position": "SELECT product_id, avg(add_to_cart_order) AS avg_pos_incart FROM pc GROUP BY 1",
-    "category_flags": """SELECT product_id, CAST(product_name ILIKE '%hot%' AS INTEGER) AS name_hot,
+    "category_flags": """SELECT product_id, CAST(product_name ILIKE '%large%' AS INTEGER) AS name_large,
         CAST(aisle_id = 10 AS INTEGER) AS aisle_10, """ + ", ".join(
         f"CAST(department_id = {i} AS INTEGER) AS department_{i}" for i in (0, 2, 5, 6, 11, 12)
     ) + " FROM products",
@@ -421,7 +421,7 @@ _BODIES = {
     "top_products": """SELECT product_name, count(*) AS count FROM pc GROUP BY 1
         ORDER BY 2 DESC, 1 LIMIT 10""",
     "product_reorder_rank": """SELECT product_name, count(*) AS total_orders,
-        round_even(avg(reordered), 3) AS reorder_rate FROM pc GROUP BY 1 HAVING count(*) >= 850
+        round_even(avg(reordered), 3) AS reorder_rate FROM pc GROUP BY 1 HAVING count(*) >= 3300
         ORDER BY 3 DESC, 2 DESC, 1 LIMIT 10""",
     "customer_stats": CUSTOMERS + "SELECT * FROM cs",
     "customer_segments": CUSTOMERS + "SELECT user_id, segment FROM sg",

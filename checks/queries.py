@@ -19,7 +19,7 @@ from trolley.sources.star import GAP_CYCLE
 # Fixed values for the derived baskets.
 AS_OF = "2001-08-02 14:00:00"
 FLAGS = {
-    "name_hot": ("name_contains", "hot"),
+    "name_large": ("name_contains", "large"),
     "aisle_10": ("aisle_id", 10),
     "department_0": ("department_id", 0),
     "department_2": ("department_id", 2),
@@ -29,10 +29,10 @@ FLAGS = {
     "department_12": ("department_id", 12),
 }
 DEPARTMENT_MIN = 8700
-PRODUCT_MIN = 850
+PRODUCT_MIN = 3300
 SEGMENTS = [
     ("VIP Customers", {"orders": 12, "basket": 4}),
-    ("Loyal Customers", {"orders": 8, "rate": 0.06}),
+    ("Loyal Customers", {"orders": 8, "rate": 0.2}),
     ("Regular Customers", {"orders": 5}),
 ]
 AISLE = "ring"

@@ -1,9 +1,10 @@
 """Basket tables derived from a retail star schema (orders, lineitem, part).
 
-Parts with one name and type are one product: its id is their smallest part
-key, its aisle the last word of the name, its department the type. Orders have
-a date only, so the hour comes from the order key; day gaps wrap at 31 to stay
-in the range the rate tables use.
+A product is what parts of one kind (last word of the name), pack and type have
+in common: its id is their smallest part key, its name pack and kind, its aisle
+the kind and its department the type. Several products share a name. Orders
+have a date only, so the hour comes from the order key; day gaps wrap at 31 to
+stay in the range the rate tables use.
 """
 
 from pyspark.sql import Window as W
@@ -14,43 +15,45 @@ from trolley.schema import AISLES, DEPARTMENTS, ORDER_PRODUCTS, ORDERS, PRODUCTS
 from trolley.sources.tables import with_schema
 
 GAP_CYCLE = 31
+LARGE_PACK_SIZE = 26
+PRODUCT = ["product_name", "aisle", "department"]
+
+
+def described_parts(part):
+    """Parts with the name, aisle and department of their product."""
+    kind = F.substring_index("p_name", " ", -1)
+    pack = F.when(F.col("p_size") >= LARGE_PACK_SIZE, "large").otherwise("small")
+    return part.select(
+        "p_partkey",
+        F.concat_ws(" ", pack, kind).alias("product_name"),
+        kind.alias("aisle"),
+        F.col("p_type").alias("department"),
+    )
 
 
-def _aisle_name():
-    return F.substring_index("p_name", " ", -1)
+def _smallest_part(parts, keys, name):
+    return parts.groupBy(*keys).agg(F.min("p_partkey").alias(name))
 
 
 def product_of_part(part):
     """One row per part: the product it belongs to."""
-    groups = part.groupBy("p_name", "p_type").agg(F.min("p_partkey").alias("product_id"))
-    return part.select("p_partkey", "p_name", "p_type").join(groups, ["p_name", "p_type"]).select(
+    parts = described_parts(part)
+    return parts.join(_smallest_part(parts, PRODUCT, "product_id"), PRODUCT).select(
         "p_partkey", "product_id"
     )
 
 
 def aisles(part):
-    named = part.groupBy(_aisle_name().alias("aisle")).agg(F.min("p_partkey").alias("aisle_id"))
-    return with_schema(named, AISLES)
+    return with_schema(_smallest_part(described_parts(part), ["aisle"], "aisle_id"), AISLES)
 
 
 def departments(part):
-    named = part.groupBy(F.col("p_type").alias("department")).agg(
-        F.min("p_partkey").alias("department_id")
-    )
+    named = _smallest_part(described_parts(part), ["department"], "department_id")
     return with_schema(named, DEPARTMENTS)
 
 
 def products(part):
-    catalog = (
-        part.groupBy("p_name", "p_type")
-        .agg(F.min("p_partkey").alias("product_id"))
-        .select(
-            "product_id",
-            F.col("p_name").alias("product_name"),
-            _aisle_name().alias("aisle"),
-            F.col("p_type").alias("department"),
-        )
-    )
+    catalog = _smallest_part(described_parts(part), PRODUCT, "product_id")
     return with_schema(
         catalog.join(aisles(part), "aisle").join(departments(part), "department"), PRODUCTS
     )
