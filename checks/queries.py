@@ -186,7 +186,7 @@ def perceptron(b):
 def boosted_trees_early_stop(b):
     train, validation = _parts(b)
     model = models.fit_boosted_trees(
-        train, validation, rounds=10, max_depth=5, step=0.1, feature_share="0.4"
+        train, validation, rounds=20, max_depth=5, step=0.3, feature_share="0.4"
     )
     return models.score(model, validation).select("user_id", "product_id", "reordered", "p")
 
@@ -195,7 +195,7 @@ def _served_model(b):
     """The boosted trees, fitted once per application."""
     if "served_model" not in b._done:
         train, _ = _parts(b)
-        b._done["served_model"] = models.fit_boosted_trees(train, rounds=10, max_depth=4, step=0.1)
+        b._done["served_model"] = models.fit_boosted_trees(train, rounds=20, max_depth=3, step=0.3)
     return b._done["served_model"]
 
 
@@ -225,7 +225,7 @@ def model_comparison(b):
         b.spark,
         [
             ("logistic_regression", {"max_iter": 100, "penalty": 1.0}, logistic),
-            ("boosted_trees", {"rounds": 10, "max_depth": 4, "step": 0.1}, boosted),
+            ("boosted_trees", {"rounds": 20, "max_depth": 3, "step": 0.3}, boosted),
         ],
         train,
         validation,
@@ -266,8 +266,7 @@ def scaled_validation(b):
 
 
 def business_summary(b):
-    row = reports.business_summary(b.prior, b.train).drop("top_departments", "top_products")
-    return row
+    return reports.business_summary(b.prior, b.train).drop("top_departments", "top_products")
 
 
 def business_top_lists(b):

@@ -83,8 +83,8 @@ def top_scored(scored, products, k=10, probability="p"):
 
 def recommend(users, model, snapshot, rates, last_purchase, products, as_of, k=10, gap_cycle=None):
     """Best ``k`` products for each of the known users in one job."""
-    wanted = snapshot.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    features = context_features(wanted, rates, last_purchase, as_of, gap_cycle)
+    wanted = last_purchase.join(users, "user_id", "left_semi")
+    features = context_features(snapshot, rates, wanted, as_of, gap_cycle)
     return top_scored(score(model, features), products, k)
 
 

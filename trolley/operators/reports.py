@@ -60,31 +60,48 @@ def _distinct(df, column, name):
     return df.select(column).distinct().agg(F.count(column).alias(name))
 
 
-def executive_kpis(prior, train):
-    """Orders, users, products, reorder rate, basket size and items in one row."""
-    prior_totals = _by_user(prior).agg(
+def _user_figures(prior, high_value=HIGH_VALUE_ORDERS):
+    """All figures that follow from orders, lines and reorders per user, in one row."""
+    is_user = F.col("user_id").isNotNull()
+    return _by_user(prior).agg(
         F.sum("total_orders").alias("prior_orders"),
+        F.sum("n").alias("prior_items"),
         F.count("user_id").alias("unique_users"),
         ratio(F.sum("reorders"), F.sum("n_known")).alias("avg_reorder_rate"),
         ratio(F.sum("n"), F.sum("total_orders")).alias("avg_basket_size"),
-        F.sum("n").alias("prior_items"),
+        F.avg(F.when(is_user, F.col("total_orders"))).alias("avg_lifetime_orders"),
+        F.avg(F.when(is_user, F.col("total_items"))).alias("avg_lifetime_items"),
+        F.count_if(is_user & (F.col("total_orders") >= high_value)).alias("high_value_customers"),
     )
+
+
+def _order_and_product_counts(prior, train):
     train_totals = (
         train.groupBy("order_id")
         .agg(F.count("*").alias("n"))
         .agg(F.count("order_id").alias("train_orders"), F.sum("n").alias("train_items"))
     )
-    row = side_by_side(
-        prior_totals, train_totals, _distinct(prior, "product_id", "unique_products")
-    )
-    return row.select(
+    return [train_totals, _distinct(prior, "product_id", "unique_products")]
+
+
+def _executive_columns():
+    return [
         (F.col("prior_orders") + F.col("train_orders")).alias("total_orders"),
         "unique_users",
         "unique_products",
         "avg_reorder_rate",
         "avg_basket_size",
         (F.col("prior_items") + F.coalesce("train_items", F.lit(0))).alias("total_items"),
-    )
+    ]
+
+
+LIFETIME_COLUMNS = ["avg_lifetime_orders", "avg_lifetime_items", "high_value_customers"]
+
+
+def executive_kpis(prior, train):
+    """Orders, users, products, reorder rate, basket size and items in one row."""
+    row = side_by_side(_user_figures(prior), *_order_and_product_counts(prior, train))
+    return row.select(*_executive_columns())
 
 
 def hourly_pattern(prior):
@@ -287,11 +304,7 @@ def department_pairs(prior, k=5):
 
 def customer_lifetime(prior, high_value=HIGH_VALUE_ORDERS):
     """Mean orders and items per user, and users with many orders."""
-    return _by_user(prior.filter(F.col("user_id").isNotNull())).agg(
-        F.avg("total_orders").alias("avg_lifetime_orders"),
-        F.avg("total_items").alias("avg_lifetime_items"),
-        F.count_if(F.col("total_orders") >= high_value).alias("high_value_customers"),
-    )
+    return _user_figures(prior, high_value).select(*LIFETIME_COLUMNS)
 
 
 def favourite_departments(prior):
@@ -344,12 +357,16 @@ def business_summary(prior, train, k=5):
     )
     departments = _as_list(top_values(prior, "department", k), "department", "n", "top_departments")
     products = _as_list(popular_products(prior, k), "product_name", "count", "top_products")
-    return side_by_side(
-        executive_kpis(prior, train),
-        customer_lifetime(prior),
+    row = side_by_side(
+        _user_figures(prior),
+        *_order_and_product_counts(prior, train),
         mean_gap,
         peak_hour(prior).select(F.col("order_hour_of_day").alias("peak_hour")),
         busiest_day(prior).select(F.col("order_dow").alias("busiest_day")),
         departments,
         products,
     )
+    return row.select(
+        *_executive_columns(), *LIFETIME_COLUMNS, "avg_days_between_orders", "peak_hour",
+        "busiest_day", "top_departments", "top_products",
+    )

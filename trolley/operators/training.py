@@ -55,25 +55,33 @@ def with_labels(pairs, train):
     return pairs.join(labels, KEYS, "left").fillna(0.0, [LABEL])
 
 
-def with_contexts(labelled, train):
-    """Keep users with a train order and add that order's context."""
-    return labelled.join(train_contexts(train), "user_id")
+def with_contexts(candidates, contexts):
+    """Candidates of the users that have a context, with its columns.
+
+    A user may hold many of the candidates.
+    """
+    return lookup_join(
+        candidates, contexts, ["user_id"], ["product_id"],
+        weights=per_key(candidates, "user_id"), weight="n", how="inner",
+    )
 
 
-def assemble(candidates, contexts, rates):
-    """Candidates (keys, pair features, ...) with context and rate columns.
+def with_pair_rate(candidates, contexts, rates):
+    """Candidates with the pair's rate at the context's day gap; 0 if none."""
+    name = "days_since_prior_reorder_rate"
+    return candidates.join(pair_rates_at(contexts, rates), KEYS, "left").fillna(0.0, [name])
 
-    Joins are grouped by key: pair-keyed tables first, then one per-user table,
-    then one per-product table. Candidates of users without a context are
-    dropped.
+
+def assemble(candidates, contexts, rates, train=None):
+    """Candidates (keys and pair features) with context, rates and, given ``train``, labels.
+
+    Joins are grouped by key, so candidates move once per key: by user, which
+    also drops users without a context, by pair, and by product.
     """
-    per_user = attach_user_rate(contexts, rates)
-    pair_rate = pair_rates_at(contexts, rates)
-    joined = (
-        candidates.join(pair_rate, KEYS, "left")
-        .fillna(0.0, ["days_since_prior_reorder_rate"])
-        .join(per_user, "user_id")
-    )
+    joined = with_contexts(candidates, attach_user_rate(contexts, rates))
+    joined = with_pair_rate(joined, contexts, rates)
+    if train is not None:
+        joined = with_labels(joined, train)
     return attach_product_rates(joined, rates, weights=per_key(candidates, "product_id"))
 
 
@@ -83,7 +91,7 @@ def training_set(pairs, train, rates):
     Everything but the label and the order context comes from prior orders.
     Products first bought in the train order are not candidates.
     """
-    assembled = assemble(with_labels(pairs, train), train_contexts(train), rates)
+    assembled = assemble(pairs, train_contexts(train), rates, train)
     return assembled.select(*KEYS, "order_id", LABEL, *MODEL_FEATURES)
 
 
