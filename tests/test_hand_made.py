@@ -53,6 +53,7 @@ def test_longest_run_in_pieces(spark, flags, per_piece):
     df = spark.createDataFrame([(1, i, flag) for i, flag in enumerate(flags)][::-1], "k int, i int, f int")
     got = run_column(df, ["k"], ["i"], "f", F.floor(F.col("i") / per_piece))
     assert rows_of(got) == [(1, longest_run(flags))]
+    assert rows_of(run_column(df, ["k"], ["i"], "f")) == [(1, longest_run(flags))]
 
 
 def history(spark):

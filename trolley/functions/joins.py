@@ -23,7 +23,13 @@ def hot_keys(weights, keys, weight, share=HOT_SHARE):
     return weights.filter(F.col(weight) > total * F.lit(share)).select(*keys)
 
 
-def lookup_join(fact, table, keys, spread, weights, weight, how="left", share=HOT_SHARE):
+def _all_fields(columns):
+    return lambda row: {c: row[c] for c in columns}
+
+
+def lookup_join(
+    fact, table, keys, spread, weights, weight, how="left", share=HOT_SHARE, read=None
+):
     """Join ``table``, one row per key, to ``fact``.
 
     ``weights`` holds about how many fact rows each key has. The table rows of
@@ -31,29 +37,40 @@ def lookup_join(fact, table, keys, spread, weights, weight, how="left", share=HO
     theirs there pass the shuffle under a hash of their ``spread`` columns
     instead of the key, so no task receives all of them. All other rows meet by
     key. The weights steer only where rows go, not the result.
+
+    ``read`` maps the matched table row, a struct that is null without a match,
+    to the columns wanted from it; by default all but the keys. It is applied
+    where a row finds its match, so wide table rows never travel.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
-    values = [c for c in table.columns if c not in keys]
-    found = F.struct(*values)
+    fields = [c for c in table.columns if c not in keys]
+    read = read or _all_fields(fields)
     frequent = F.broadcast(hot_keys(weights, keys, weight, share))
-    frequent_rows = table.join(frequent, keys).select(*keys, found.alias("_hot"))
+    frequent_rows = table.join(frequent, keys).select(*keys, F.struct(*fields).alias("_row"))
     flagged = fact.join(F.broadcast(frequent_rows), keys, "left")
-    served = F.col("_hot").isNotNull()
+    served = F.col("_row").isNotNull()
+    near = read(F.col("_row"))
     left = flagged.select(
         *fact.columns,
-        "_hot",
+        served.alias("_served"),
+        *[value.alias(f"_near_{name}") for name, value in near.items()],
         *[F.when(~served, F.col(k)).alias(f"_{k}") for k in keys],
         F.when(served, F.xxhash64(*spread)).otherwise(F.xxhash64(*keys)).alias("_place"),
     )
     right = table.select(
         *[F.col(k).alias(f"_{k}") for k in keys],
         F.xxhash64(*keys).alias("_place"),
-        found.alias("_cold"),
-    )
-    joined = left.join(right, [*[f"_{k}" for k in keys], "_place"], "left").withColumn(
-        "_row", F.coalesce("_hot", "_cold")
+        F.struct(*fields).alias("_row"),
     )
+    joined = left.join(right, [*[f"_{k}" for k in keys], "_place"], "left")
     if how == "inner":
-        joined = joined.filter(F.col("_row").isNotNull())
-    return joined.select(*fact.columns, *[F.col("_row")[c].alias(c) for c in values])
+        joined = joined.filter(F.col("_served") | F.col("_row").isNotNull())
+    far = read(F.col("_row"))
+    return joined.select(
+        *fact.columns,
+        *[
+            F.when(F.col("_served"), F.col(f"_near_{name}")).otherwise(value).alias(name)
+            for name, value in far.items()
+        ],
+    )

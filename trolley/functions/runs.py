@@ -59,15 +59,20 @@ def merge(pieces):
     return F.aggregate(F.array_sort(pieces), _empty(), step)
 
 
-def longest_run(df, keys, order, flag, piece):
+def history(order, flag):
+    """Aggregate: a group's flags with their sort keys, as ``summarise`` takes them."""
+    return F.collect_list(F.struct(*order, F.col(flag).alias("flag")))
+
+
+def longest_run(df, keys, order, flag, piece=None):
     """Per key, the longest run of ``flag = 1`` in ``order``.
 
     ``piece`` numbers the bounded pieces a key's history is cut into; it must
-    not decrease along ``order``.
+    not decrease along ``order``. Without it every history must be short.
     """
-    pieces = df.groupBy(*keys, piece.alias("piece")).agg(
-        summarise(F.collect_list(F.struct(*order, F.col(flag).alias("flag")))).alias("run")
-    )
+    if piece is None:
+        return df.groupBy(*keys).agg(summarise(history(order, flag))["best"].alias("longest_run"))
+    pieces = df.groupBy(*keys, piece.alias("piece")).agg(summarise(history(order, flag)).alias("run"))
     return pieces.groupBy(*keys).agg(
         merge(F.collect_list(F.struct("piece", "run")))["best"].alias("longest_run")
     )

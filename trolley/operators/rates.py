@@ -91,9 +91,10 @@ def product_rate_maps(rates):
     return long_form.groupBy("product_id").agg(entries(hour), entries(day), entries(gap))
 
 
-def _map_rate(name, key):
-    value = F.try_element_at(F.col(f"{name}_map"), F.coalesce(F.col(key).cast("double"), F.lit(-1.0)))
-    return F.coalesce(F.when(F.col(key).isNotNull(), value), F.lit(0.0)).alias(name)
+def _rate_at(rates, key):
+    """Entry of a rate map at a column's value; 0 if there is none."""
+    value = F.try_element_at(rates, F.coalesce(F.col(key).cast("double"), F.lit(-1.0)))
+    return F.coalesce(F.when(F.col(key).isNotNull(), value), F.lit(0.0))
 
 
 def attach_product_rates(df, rates, weights):
@@ -102,11 +103,12 @@ def attach_product_rates(df, rates, weights):
     ``weights`` counts the rows per product (``per_key``).
     """
     names = ["hour_reorder_rate", "day_reorder_rate", "p_days_since_prior_order_reorder_rate"]
-    joined = lookup_join(
-        df, product_rate_maps(rates), ["product_id"], ["user_id"], weights=weights, weight="n"
-    )
-    return joined.select(
-        *df.columns, *[_map_rate(name, RATE_KEYS[name][1]) for name in names]
+
+    def read(row):
+        return {name: _rate_at(row[f"{name}_map"], RATE_KEYS[name][1]) for name in names}
+
+    return lookup_join(
+        df, product_rate_maps(rates), ["product_id"], ["user_id"], weights, "n", read=read
     )
 
 
