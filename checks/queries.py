@@ -217,6 +217,16 @@ def saved_model_scores(b):
     )
 
 
+def saved_model_agreement(b):
+    """Held-out rows, and how many the reloaded model scores differently."""
+    keys = ["user_id", "product_id"]
+    reloaded = saved_model_scores(b).select(*keys, F.col("p").alias("reloaded"))
+    both = boosted_trees(b).join(reloaded, keys)
+    return both.agg(
+        F.count("*").alias("n"), F.count_if(F.col("p") != F.col("reloaded")).alias("n_different")
+    )
+
+
 def model_comparison(b):
     train, validation = _parts(b)
     logistic = models.fit_logistic_regression(train, max_iter=100)
@@ -252,6 +262,29 @@ def recommendations(b):
     )
 
 
+def recommendation_counts(b):
+    """Recommendations, distinct products and highest rank per known user."""
+    return recommendations(b).groupBy("user_id").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("product_id").alias("n_products"),
+        F.max("rank").alias("last_rank"),
+    )
+
+
+def known_users(b):
+    known, unknown = recommend.split_known(_customers(b), _last_purchase(b))
+    return known.withColumn("known", F.lit(True)).unionByName(
+        unknown.withColumn("known", F.lit(False))
+    )
+
+
+def reduced_feature_norms(b):
+    """Length of each product's factors: 1, or 0 for products without a flag."""
+    reduced = product.reduced_features(b.products_merged, FLAGS)
+    squares = sum(F.col(c) ** 2 for c in reduced.columns if c != "product_id")
+    return reduced.select("product_id", F.round(F.sqrt(squares), 6).alias("norm"))
+
+
 def routed_recommendations(b):
     return recommend.route(
         _customers(b), _last_purchase(b), _by_order_rate(b),
@@ -307,6 +340,7 @@ BASKET_QUERIES = {
     "average_cart_position": lambda b: product.average_cart_position(b.prior),
     "category_flags": lambda b: product.category_flags(b.products_merged, FLAGS),
     "reduced_features": lambda b: product.reduced_features(b.products_merged, FLAGS),
+    "reduced_feature_norms": reduced_feature_norms,
     "aisle_reorder_rate": lambda b: product.aisle_reorder_rate(b.prior),
     "department_reorder_rate": lambda b: product.department_reorder_rate(b.prior),
     "product_statistics": lambda b: product.product_statistics(b.prior, b.products_merged),
@@ -358,6 +392,7 @@ BASKET_QUERIES = {
     "feature_importance": feature_importance,
     "model_comparison": model_comparison,
     "saved_model_scores": saved_model_scores,
+    "saved_model_agreement": saved_model_agreement,
     # recommendation
     "slot_products": lambda b: recommend.top_products_by_slot(b.prior),
     "user_last_purchase": lambda b: recommend.user_last_purchase(b.train),
@@ -366,6 +401,8 @@ BASKET_QUERIES = {
     "user_product_snapshot": lambda b: recommend.user_product_snapshot(b.pairs),
     "context_features": _contexts,
     "recommendations": recommendations,
+    "recommendation_counts": recommendation_counts,
+    "known_users": known_users,
     "best_by_order_rate": _by_order_rate,
     "routed_recommendations": routed_recommendations,
     "recommend_new": lambda b: recommend.recommend_new(

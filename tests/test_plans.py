@@ -13,7 +13,7 @@ from trolley.sources import tables
 LAZY = sorted(set(BASKET_QUERIES) - {
     "logistic_regression", "decision_tree_search", "calibrated_forest", "perceptron",
     "boosted_trees_early_stop", "boosted_trees", "feature_importance", "model_comparison",
-    "saved_model_scores", "recommendations", "load_tables", "processed_table", "read_prefix",
+    "saved_model_scores", "saved_model_agreement", "recommendations", "recommendation_counts", "load_tables", "processed_table", "read_prefix",
     "publish_serving_tables",
 })
 

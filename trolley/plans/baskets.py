@@ -45,10 +45,11 @@ class Baskets:
 
     @cached_property
     def lines(self):
-        return self.stored(
-            "lines",
-            lambda: star.order_lines(self._star("lineitem"), self.numbered_orders, self._star("part")),
+        placed = self.stored(
+            "placed_lines",
+            lambda: star.placed_lines(self._star("lineitem"), self.numbered_orders, self._star("part")),
         )
+        return self.stored("lines", lambda: star.with_reordered(placed))
 
     @property
     def orders(self):

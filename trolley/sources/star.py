@@ -104,8 +104,8 @@ def numbered_orders(orders):
     )
 
 
-def order_lines(lineitem, orders, part):
-    """Every distinct (order, product) with its cart position and reorder flag.
+def placed_lines(lineitem, orders, part):
+    """Every distinct (order, product) with its cart position and order columns.
 
     ``orders`` are numbered orders. After the first aggregate an order has at
     most one line per product, so the window over an order is bounded by the
@@ -118,9 +118,18 @@ def order_lines(lineitem, orders, part):
         .agg(F.min("l_linenumber").alias("line"))
     )
     position = F.row_number().over(W.partitionBy("order_id").orderBy("line", "product_id"))
-    placed = distinct_lines.withColumn("add_to_cart_order", position).join(
-        orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id"
+    return (
+        distinct_lines.withColumn("add_to_cart_order", position)
+        .drop("line")
+        .join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     )
+
+
+def with_reordered(placed):
+    """Placed lines with ``reordered``: 1 if the user bought the product in an earlier order.
+
+    ``placed`` is used several times, so pass a stored table.
+    """
     pair = ["user_id", "product_id"]
     first = placed.groupBy(*pair).agg(
         F.min("order_number").alias("first_order"), F.count("*").alias("n")
