@@ -2,6 +2,7 @@
 
 BENCH_SF_DIR names the star-schema folder, BENCH_CPUS the local cores. Each
 query runs once to warm up and then BENCH_RUNS times; the best run counts.
+BENCH_QUERIES picks other queries: names with commas, or "all".
 """
 
 import json
@@ -52,7 +53,9 @@ def main():
         "derive_baskets": timed(lambda: (baskets.prior, baskets.train)),
         "feature_tables": timed(lambda: (baskets.pairs, baskets.rates, baskets.training_set)),
     }
-    for name in HEADLINE:
+    chosen = os.environ.get("BENCH_QUERIES")
+    names = HEADLINE if not chosen else list(BASKET_QUERIES) if chosen == "all" else chosen.split(",")
+    for name in names:
         query = BASKET_QUERIES[name]
         times = [timed(lambda: run_all(query(baskets))) for _ in range(runs + 1)]
         seconds[name] = min(times[1:] or times)

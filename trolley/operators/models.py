@@ -37,6 +37,10 @@ HIDDEN_LAYERS = [256, 128, 64, 32]
 # Random-search grid of the decision tree.
 TREE_GRID = {"maxDepth": [5, 10, 15, 20], "minInstancesPerNode": [2, 3, 4, 5]}
 
+# Boosted trees: the served model, and the variant that stops early.
+SERVED_TREES = {"rounds": 2000, "max_depth": 13, "step": 0.02}
+EARLY_STOPPING_TREES = {"rounds": 300, "max_depth": 15, "step": 0.02, "feature_share": "0.4"}
+
 LOG_LOSS_EPS = 1e-15
 
 
@@ -182,10 +186,9 @@ def fit_boosted_trees(
 ):
     """Gradient-boosted trees; rounds stop early when ``validation`` is given.
 
-    ``rounds=300, max_depth=15, feature_share="0.4"`` with a validation part is
-    the early-stopping variant; the defaults are the served model. Each round is
-    a pass over the data, and Spark grows trees level by level, so start with
-    far smaller values.
+    The defaults are ``SERVED_TREES``; ``EARLY_STOPPING_TREES`` go with a
+    validation part. Each round is a pass over the data, and Spark grows trees
+    level by level, so start with far smaller values.
     """
     estimator = GBTClassifier(
         maxIter=rounds, maxDepth=max_depth, stepSize=step, featureSubsetStrategy=feature_share,
