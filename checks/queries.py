@@ -193,10 +193,10 @@ def boosted_trees_early_stop(b):
 
 def _served_model(b):
     """The boosted trees, fitted once per application."""
-    if "served_model" not in b._done:
+    if "served" not in b.fitted:
         train, _ = _parts(b)
-        b._done["served_model"] = models.fit_boosted_trees(train, rounds=20, max_depth=3, step=0.3)
-    return b._done["served_model"]
+        b.fitted["served"] = models.fit_boosted_trees(train, rounds=20, max_depth=3, step=0.3)
+    return b.fitted["served"]
 
 
 def boosted_trees(b):

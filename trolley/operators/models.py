@@ -26,6 +26,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from trolley.schema import LABEL, MODEL_FEATURES
+from trolley.session import ensure_checkpoints
 from trolley.sources.tables import path_exists
 
 SEED = 42
@@ -194,6 +195,7 @@ def fit_boosted_trees(
         maxIter=rounds, maxDepth=max_depth, stepSize=step, featureSubsetStrategy=feature_share,
         subsamplingRate=subsample, maxMemoryInMB=1024, seed=seed, labelCol=LABEL, featuresCol="features",
     )
+    ensure_checkpoints(train.sparkSession)
     train = filled(train)
     if validation is not None:
         estimator.setValidationIndicatorCol("held_out")

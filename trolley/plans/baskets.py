@@ -26,6 +26,7 @@ class Baskets:
     spark: SparkSession
     source: str
     folder: str
+    fitted: dict = field(default_factory=dict)  # models kept for the application
     _done: dict = field(default_factory=dict)
 
     def stored(self, name, build) -> DataFrame:

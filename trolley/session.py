@@ -5,11 +5,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Adaptive execution picks join sides from measured sizes, merges small shuffle
-# partitions and splits skewed ones; the joins in this package rely on it.
+# partitions and splits skewed ones; the joins in this package rely on it. The
+# rows broadcast for frequent keys are few but come from whole-table aggregates,
+# which may take longer than the default five minutes.
 ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.broadcastTimeout": "7200",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -40,3 +43,9 @@ def shared_dir(spark):
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="trolley-")
     return _local_dirs[context.applicationId]
+
+
+def ensure_checkpoints(spark):
+    """Give iterative training a checkpoint folder if the session has none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
