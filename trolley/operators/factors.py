@@ -57,4 +57,5 @@ def pattern_factors(flagged, names, k=3, seed=42, prefix="factor_", key="product
         unit = np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
         table = [(code, *map(float, row)) for code, row in zip(codes, unit)]
     lookup = flagged.sparkSession.createDataFrame(table, schema)
-    return coded.join(lookup, "pattern").drop("pattern")
+    # At most 2^MAX_FLAGS rows, and some patterns hold most of the products.
+    return coded.join(F.broadcast(lookup), "pattern").drop("pattern")
