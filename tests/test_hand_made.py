@@ -1,5 +1,7 @@
 """Small frames with answers worked out by hand."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,20 @@ def test_longest_run_in_pieces(spark, flags, per_piece):
     assert rows_of(run_column(df, ["k"], ["i"], "f")) == [(1, longest_run(flags))]
 
 
+def test_longest_run_of_random_histories(spark):
+    draw = random.Random(7)
+    histories = {
+        key: [int(draw.random() < draw.choice([0.2, 0.7, 0.95])) for _ in range(draw.randint(1, 60))]
+        for key in range(300)
+    }
+    rows = [(key, i, flag) for key, flags in histories.items() for i, flag in enumerate(flags)]
+    draw.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, i int, f int")
+    want = sorted((key, longest_run(flags)) for key, flags in histories.items())
+    for piece in (None, F.floor(F.col("i") / 7), F.floor(F.col("i") / 20)):
+        assert rows_of(run_column(df, ["k"], ["i"], "f", piece)) == want
+
+
 def history(spark):
     """User 1: five orders with product 10, one with 11; user 2: a single order."""
     flags = [0, 1, 1, 0, 1]

@@ -46,6 +46,19 @@ def test_frequent_rows_are_spread_over_the_partitions(spark, settings):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 4000 / 2
 
 
+def test_rows_without_a_key_are_spread_too(spark, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    fact = fact_rows(spark).withColumn("k", F.when(F.col("k") > 1, F.col("k")))
+    table = spark.range(2, 1000).select(F.col("id").alias("k"), F.col("id").alias("x"))
+    joined = lookup_join(fact, table, ["k"], ["v"], per_key(fact, "k"), "n")
+    sizes = joined.filter("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == fact.filter("k IS NULL").count() > 4000
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 4000 / 2
+
+
 def skewed_orders(spark):
     """Customer 1 places a third of all orders, many of them on one day."""
     key = F.col("id")

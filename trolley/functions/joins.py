@@ -5,6 +5,8 @@ come straight from a shuffle. A per-key table that was just aggregated by the
 join key does not, so the joins here treat frequent keys themselves.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 # A key is frequent if it holds more than this share of all rows, so there are
@@ -50,13 +52,15 @@ def lookup_join(
     frequent_rows = table.join(frequent, keys).select(*keys, F.struct(*fields).alias("_row"))
     flagged = fact.join(F.broadcast(frequent_rows), keys, "left")
     served = F.col("_row").isNotNull()
+    # Null keys never match and may be many, so they are spread as well.
+    unbound = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], served)
     near = read(F.col("_row"))
     left = flagged.select(
         *fact.columns,
         served.alias("_served"),
         *[value.alias(f"_near_{name}") for name, value in near.items()],
         *[F.when(~served, F.col(k)).alias(f"_{k}") for k in keys],
-        F.when(served, F.xxhash64(*spread)).otherwise(F.xxhash64(*keys)).alias("_place"),
+        F.when(unbound, F.xxhash64(*spread)).otherwise(F.xxhash64(*keys)).alias("_place"),
     )
     right = table.select(
         *[F.col(k).alias(f"_{k}") for k in keys],
