@@ -78,3 +78,35 @@ FROM base LEFT JOIN near_char USING (doc_id) LEFT JOIN near_word USING (doc_id)"
 
 
 ORACLES["op10_quality_rules"] = _quality()
+
+
+# The level is found without rounds: sources by cap per weight, clamped while
+# the level that the others would get lies above their own.
+ORACLES["op6_mix_sources"] = f"""
+WITH sizes AS (
+  SELECT doc_id, source, len({WORDS}) AS size,
+    CAST('0x' || substr(md5('7:' || doc_id), 1, 8) AS BIGINT) AS digest FROM documents
+), totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY 1
+), weighted AS (
+  SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::BIGINT AS weight FROM totals
+), ranked AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER lower, 0) AS left_over,
+    sum(weight) OVER () - coalesce(sum(weight) OVER lower, 0) AS share
+  FROM weighted WINDOW lower AS (ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT left_over, share FROM ranked WHERE weight * left_over <= 3 * source_size * share
+  ORDER BY source_size / weight, source LIMIT 1
+), filled AS (
+  SELECT source, source_size, CASE WHEN weight * left_over > 3 * source_size * share THEN (3 * source_size)::DOUBLE
+    ELSE (weight * left_over)::DOUBLE / share END AS target
+  FROM weighted, level
+), epochs AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM filled
+), placed AS (
+  SELECT s.*, e.source_size, e.target, e.whole, e.target - e.whole * e.source_size AS wanted,
+    coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY digest, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle
+  FROM sizes s JOIN epochs e ON s.source IS NOT DISTINCT FROM e.source
+)
+SELECT doc_id, size, source_size, target, (whole + (size > 0 AND middle <= wanted)::BIGINT) * size AS taken, source,
+  whole + (size > 0 AND middle <= wanted)::BIGINT AS times FROM placed"""

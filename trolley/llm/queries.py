@@ -1,6 +1,8 @@
 """The registered queries of this subpackage: name -> function of (session, folder)."""
 
-from trolley.llm import quality
+from pyspark.sql import functions as F
+
+from trolley.llm import mixing, quality
 from trolley.llm.common import table
 
 
@@ -11,6 +13,14 @@ def op10_quality_rules(spark, folder):
     )
 
 
+def op6_mix_sources(spark, folder):
+    drawn = mixing.mix_sizes(table(spark, folder, "documents"))
+    return drawn.select(
+        "doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "source", "times"
+    )
+
+
 QUERIES = {
+    "op6_mix_sources": op6_mix_sources,
     "op10_quality_rules": op10_quality_rules,
 }
