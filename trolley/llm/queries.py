@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trolley.llm import mixing, quality
+from trolley.llm import mixing, quality, toxicity
 from trolley.llm.common import table
 
 
@@ -20,7 +20,17 @@ def op6_mix_sources(spark, folder):
     )
 
 
+def op8_toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = toxicity.score(docs, toxicity.learn(docs, toxicity.training_labels(labels)))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.LIMIT).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
+    "op8_toxicity": op8_toxicity,
     "op6_mix_sources": op6_mix_sources,
     "op10_quality_rules": op10_quality_rules,
 }

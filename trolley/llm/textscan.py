@@ -58,12 +58,14 @@ def _pieces(text, size):
     yield text[at:]
 
 
-def _word_hash(data):
-    """Start and hash of every word of one byte array."""
+def _word_hash(data, prefix):
+    """Start and hash of every word, or of its first bytes, of one byte array."""
     edge = np.diff(np.concatenate(([True], _SPACE[data], [True])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(starts):
         return starts, np.zeros(0, np.uint64)
+    if prefix:
+        ends = np.minimum(ends, starts + prefix)
     lengths = ends - starts
     if len(data) > 4 * GROUP:  # only a word longer than a group gets here
         hashes = np.array([_long_hash(data[s:e]) for s, e in zip(starts, ends)], np.uint64)
@@ -84,8 +86,8 @@ def _long_hash(data):
     return total & _MASK
 
 
-def word_hashes(texts):
-    """Text number and hash of every word of the texts, in order."""
+def word_hashes(texts, prefix=None):
+    """Text number and hash of every word, or word prefix, of the texts, in order."""
     owners, hashes = [], []
     short, first = [], 0
 
@@ -93,7 +95,7 @@ def word_hashes(texts):
         if short:
             sizes = np.array([len(t) + 1 for t in short])
             bounds = np.cumsum(sizes)
-            starts, found = _word_hash(np.frombuffer(b" ".join(short), np.uint8))
+            starts, found = _word_hash(np.frombuffer(b" ".join(short), np.uint8), prefix)
             owners.append(first + np.searchsorted(bounds, starts, "right"))
             hashes.append(found)
             short.clear()
@@ -106,7 +108,7 @@ def word_hashes(texts):
             continue
         flush()
         for piece in _pieces(text, GROUP):
-            _, found = _word_hash(np.frombuffer(piece, np.uint8))
+            _, found = _word_hash(np.frombuffer(piece, np.uint8), prefix)
             owners.append(np.full(len(found), i))
             hashes.append(found)
     flush()
