@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trolley.llm import mixing, quality, toxicity
+from trolley.llm import mixing, quality, token_files, toxicity
 from trolley.llm.common import table
 
 
@@ -20,6 +20,13 @@ def op6_mix_sources(spark, folder):
     )
 
 
+def op7_token_files(spark, folder):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.token_digests(token_files.write_tokens(table(spark, folder, "documents"), path, end_id=2))
+
+
 def op8_toxicity(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = toxicity.score(docs, toxicity.learn(docs, toxicity.training_labels(labels)))
@@ -30,6 +37,7 @@ def op8_toxicity(spark, folder):
 
 
 QUERIES = {
+    "op7_token_files": op7_token_files,
     "op8_toxicity": op8_toxicity,
     "op6_mix_sources": op6_mix_sources,
     "op10_quality_rules": op10_quality_rules,
