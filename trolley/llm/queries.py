@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trolley.llm import mixing, quality, token_files, toxicity
+from trolley.llm import html_text, mixing, quality, token_files, toxicity
 from trolley.llm.common import table
 
 
@@ -36,7 +36,12 @@ def op8_toxicity(spark, folder):
     )
 
 
+def op9_html_text(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 QUERIES = {
+    "op9_html_text": op9_html_text,
     "op7_token_files": op7_token_files,
     "op8_toxicity": op8_toxicity,
     "op6_mix_sources": op6_mix_sources,
