@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from trolley.llm.common import stored, word_count
 
 LANES = 1024
+SALTS = 32
 WEIGHTS = (5, 2, 1)
 
 
@@ -101,11 +102,20 @@ def plan(sizes, weights=WEIGHTS, max_epochs=3, seed=7):
     ends = dealt.join(
         last, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("lane") == F.col("f_lane"))
     ).withColumn("taken", middle <= F.col("wanted")).groupBy("f_source", "f_lane").agg(cut.alias("cut"))
-    return filled.join(ends, F.col("source").eqNullSafe(F.col("f_source")), "left").select(
+    found = filled.join(ends, F.col("source").eqNullSafe(F.col("f_source")), "left").select(
         "source", "source_size", "target", "whole",
         F.coalesce(F.col("cut.digest"), F.col("f_lane") * (2**32 // LANES), F.lit(0)).alias("cut_digest"),
         F.col("cut.id").alias("cut_id"), F.col("cut.size").alias("cut_size"),
     )
+    return stored(found, "mix_plan")
+
+
+def _with_plan(rows, found, seed):
+    """Rows with their source's plan; a hot source's rows are dealt over ``SALTS`` places."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    found = found.withColumnRenamed("source", "p_source").withColumn("p_salt", salts)
+    salted = with_digest(rows, seed).withColumn("salt", F.pmod("digest", F.lit(SALTS)).cast("int"))
+    return salted.join(found, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("salt") == F.col("p_salt")))
 
 
 def _known(name):
@@ -123,8 +133,7 @@ def _times(doc_id, size):
 def mix_sizes(docs, weights=WEIGHTS, max_epochs=3, seed=7):
     """How often each document is taken; the texts are read once, for their sizes."""
     sizes = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix_sizes")
-    found = plan(sizes, weights, max_epochs, seed).withColumnRenamed("source", "p_source")
-    joined = with_digest(sizes, seed).join(found, F.col("source").eqNullSafe(F.col("p_source")))
+    joined = _with_plan(sizes, plan(sizes, weights, max_epochs, seed), seed)
     return joined.select(
         "doc_id", "source", "size", "source_size", "target", _times("doc_id", "size").alias("times")
     )
@@ -137,10 +146,10 @@ def mix_documents(docs, weights=WEIGHTS, max_epochs=3, seed=7):
     sources and need not move.
     """
     sizes = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix_sizes")
-    found = plan(sizes, weights, max_epochs, seed).withColumnRenamed("source", "p_source")
+    found = plan(sizes, weights, max_epochs, seed)
     rows = docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*[docs[c] for c in docs.columns]).alias("row")
     )
-    joined = with_digest(rows, seed).join(found, F.col("source").eqNullSafe(F.col("p_source")))
+    joined = _with_plan(rows, found, seed)
     taken = joined.withColumn("times", _times("doc_id", "size")).filter("times > 0")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")
