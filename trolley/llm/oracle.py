@@ -110,3 +110,28 @@ WITH sizes AS (
 )
 SELECT doc_id, size, source_size, target, (whole + (size > 0 AND middle <= wanted)::BIGINT) * size AS taken, source,
   whole + (size > 0 AND middle <= wanted)::BIGINT AS times FROM placed"""
+
+
+# Exact: every pair that shares a shingle is counted; classes of equal sets are
+# paired, so large groups of copies stay cheap.
+ORACLES["op5_minhash_near_dedup"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents
+), words AS (SELECT doc_id, {WORDS} AS ws FROM docs
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM words
+), sets AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS digest FROM shingles GROUP BY 1
+), classes AS (SELECT digest, any_value(n) AS n, min(doc_id) AS rep FROM sets GROUP BY 1
+), small AS (SELECT rep, n, s FROM classes JOIN shingles ON rep = doc_id
+), pairs AS (
+  SELECT a.rep AS a, b.rep AS b FROM small a JOIN small b ON a.s = b.s AND a.rep < b.rep
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach(node, place) AS (
+  SELECT rep, rep FROM classes UNION SELECT node, b FROM reach JOIN edges ON place = a
+), labels AS (SELECT node, min(place) AS component FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+  coalesce(component, d.doc_id) = d.doc_id AS kept
+FROM docs d LEFT JOIN sets s USING (doc_id) LEFT JOIN classes c USING (digest) LEFT JOIN labels ON c.rep = node"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trolley.llm import html_text, mixing, quality, token_files, toxicity
+from trolley.llm import html_text, mixing, near_duplicates, quality, token_files, toxicity
 from trolley.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op10_quality_rules(spark, folder):
     )
 
 
+def op5_minhash_near_dedup(spark, folder):
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
 def op6_mix_sources(spark, folder):
     drawn = mixing.mix_sizes(table(spark, folder, "documents"))
     return drawn.select(
@@ -41,6 +45,7 @@ def op9_html_text(spark, folder):
 
 
 QUERIES = {
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_html_text": op9_html_text,
     "op7_token_files": op7_token_files,
     "op8_toxicity": op8_toxicity,
