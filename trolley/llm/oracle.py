@@ -135,3 +135,20 @@ WITH RECURSIVE docs AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
   coalesce(component, d.doc_id) = d.doc_id AS kept
 FROM docs d LEFT JOIN sets s USING (doc_id) LEFT JOIN classes c USING (digest) LEFT JOIN labels ON c.rep = node"""
+
+
+ORACLES["op1_embedding_near_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0
+), pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach(node, place) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT node, b FROM reach JOIN edges ON place = a
+), labels AS (SELECT node, min(place) AS component_id FROM reach GROUP BY 1
+), counts AS (SELECT a, count(*) AS n FROM edges GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM embeddings JOIN labels ON vec_id = node LEFT JOIN counts ON vec_id = a"""

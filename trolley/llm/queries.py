@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trolley.llm import html_text, mixing, near_duplicates, quality, token_files, toxicity
+from trolley.llm import embeddings, html_text, mixing, near_duplicates, quality, token_files, toxicity
 from trolley.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op10_quality_rules(spark, folder):
     )
 
 
+def op1_embedding_near_dedup(spark, folder):
+    return embeddings.near_vectors(table(spark, folder, "embeddings"), cosine=0.9)
+
+
 def op5_minhash_near_dedup(spark, folder):
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), percent=85)
 
@@ -45,6 +49,7 @@ def op9_html_text(spark, folder):
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_html_text": op9_html_text,
     "op7_token_files": op7_token_files,
