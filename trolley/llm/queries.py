@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trolley.llm import embeddings, html_text, mixing, near_duplicates, quality, token_files, toxicity
+from trolley.llm import embeddings, html_text, mixing, near_duplicates, pii, quality, token_files, toxicity
 from trolley.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_embedding_near_dedup(spark, folder):
     return embeddings.near_vectors(table(spark, folder, "embeddings"), cosine=0.9)
 
 
+def op3_pii_pseudonyms(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, findings="n_replaced")
+
+
 def op5_minhash_near_dedup(spark, folder):
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), percent=85)
 
@@ -49,6 +54,7 @@ def op9_html_text(spark, folder):
 
 
 QUERIES = {
+    "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_html_text": op9_html_text,
