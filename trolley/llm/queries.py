@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trolley.llm import embeddings, html_text, mixing, near_duplicates, pii, quality, token_files, toxicity
+from trolley.llm import embeddings, html_text, license_scan, mixing, near_duplicates, pii, quality, token_files, toxicity
 from trolley.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_pii_pseudonyms(spark, folder):
     return pii.pseudonymise(docs, findings="n_replaced")
 
 
+def op4_license_scan(spark, folder):
+    return license_scan.license_matches(table(spark, folder, "documents"))
+
+
 def op5_minhash_near_dedup(spark, folder):
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), percent=85)
 
@@ -54,6 +58,7 @@ def op9_html_text(spark, folder):
 
 
 QUERIES = {
+    "op4_license_scan": op4_license_scan,
     "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
