@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from trolley.llm import embeddings, html_text, license_scan, mixing, near_duplicates, pii, quality, token_files, toxicity
+import corpus_pipeline
+from trolley.llm import embeddings, html_text, license_scan, mixing, near_duplicates, pieces, pii, quality, token_files, toxicity
 from trolley.llm.common import table
 
 
@@ -17,6 +18,12 @@ def op1_embedding_near_dedup(spark, folder):
     return embeddings.near_vectors(table(spark, folder, "embeddings"), cosine=0.9)
 
 
+def op2_sampled_pieces(spark, folder):
+    import public_tokenizers
+
+    return pieces.round_trips(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_pii_pseudonyms(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, findings="n_replaced")
@@ -57,7 +64,13 @@ def op9_html_text(spark, folder):
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
+    "pipeline": pipeline,
+    "op2_sampled_pieces": op2_sampled_pieces,
     "op4_license_scan": op4_license_scan,
     "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
