@@ -321,7 +321,7 @@ _BODIES = {
     "user_product_snapshot": PAIRS + "SELECT * FROM up",
     "context_features": PAIRS + RATES + LAST_PURCHASE + f""",
         ctx AS (SELECT user_id, 4 AS order_dow, 14 AS order_hour_of_day,
-                CAST(datediff('day', date, CAST({AS_OF} AS DATE)) % 31 AS DOUBLE) AS days_since_prior_order
+                CAST(least(datediff('day', date, CAST({AS_OF} AS DATE)), 30) AS DOUBLE) AS days_since_prior_order
                 FROM last_purchase)
         SELECT up.*, CAST(ctx.order_dow AS INTEGER) AS order_dow,
           CAST(ctx.order_hour_of_day AS INTEGER) AS order_hour_of_day, ctx.days_since_prior_order,

@@ -4,6 +4,8 @@ All queries read whole tables. Parameters replace defaults that do not fit the
 derived baskets (ids, thresholds, the clock); see FIXTURES.md.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import title_case, week_day
@@ -14,7 +16,6 @@ from trolley.operators import (
 from trolley.plans.baskets import open_baskets
 from trolley.schema import MODEL_FEATURES, PRODUCTS
 from trolley.sources import tables
-from trolley.sources.star import GAP_CYCLE
 
 # Fixed values for the derived baskets.
 AS_OF = "2001-08-02 14:00:00"
@@ -44,8 +45,13 @@ def _round(df, *columns, digits=6):
 
 # --- sources and sinks -----------------------------------------------------
 
+def _new_folder(b, name):
+    """A folder that no earlier result reads."""
+    return f"{b.folder}/{name}-{uuid.uuid4().hex}"
+
+
 def csv_tables(b):
-    folder = f"{b.folder}/raw_csv"
+    folder = _new_folder(b, "raw_csv")
     for name, (stem, _) in tables.RAW_TABLES.items():
         tables.write_table(b.raw_tables[name], f"{folder}/{stem}.csv", "csv")
     return tables.load_tables(b.spark, folder, "csv")
@@ -71,13 +77,13 @@ def optional_table(b):
 
 
 def processed_table(b):
-    path = f"{b.folder}/processed/product_statistics"
+    path = _new_folder(b, "product_statistics")
     tables.write_table(product.product_statistics(b.prior, b.products_merged), path)
     return tables.read_table(b.spark, path)
 
 
 def read_prefix(b):
-    folder = f"{b.folder}/prefix"
+    folder = _new_folder(b, "prefix")
     tables.write_table(b.products, f"{folder}/nested/deeper/products.csv", "csv")
     tables.write_table(b.aisles, f"{folder}/nested/aisles.parquet")
     return tables.read_prefix(b.spark, folder, schema=PRODUCTS)
@@ -94,7 +100,7 @@ def serving_tables(b):
 
 
 def publish_serving_tables(b):
-    folders = tables.publish(serving_tables(b), f"{b.folder}/serving")
+    folders = tables.publish(serving_tables(b), _new_folder(b, "serving"))
     return tables.table_sizes(
         {name: tables.read_table(b.spark, path) for name, path in folders.items()}
     )
@@ -129,7 +135,7 @@ def _last_purchase(b):
 
 def _contexts(b):
     return recommend.context_features(
-        recommend.user_product_snapshot(b.pairs), b.rates, _last_purchase(b), AS_OF, GAP_CYCLE
+        recommend.user_product_snapshot(b.pairs), b.rates, _last_purchase(b), AS_OF
     )
 
 
@@ -186,7 +192,7 @@ def perceptron(b):
 def boosted_trees_early_stop(b):
     train, validation = _parts(b)
     model = models.fit_boosted_trees(
-        train, validation, rounds=20, max_depth=5, step=0.3, feature_share="0.4"
+        train, validation, rounds=20, max_depth=5, step=0.3, feature_share="0.4", patience=5
     )
     return models.score(model, validation).select("user_id", "product_id", "reordered", "p")
 
@@ -210,7 +216,7 @@ def feature_importance(b):
 
 
 def saved_model_scores(b):
-    path = f"{b.folder}/models/boosted_trees"
+    path = _new_folder(b, "boosted_trees")
     models.save_model(_served_model(b), path)
     return models.score(models.load_model(b.spark, path), _parts(b)[1]).select(
         "user_id", "product_id", "reordered", "p"
@@ -258,7 +264,7 @@ def recommendations(b):
     known, _ = recommend.split_known(_customers(b), _last_purchase(b))
     return recommend.recommend(
         known, _served_model(b), recommend.user_product_snapshot(b.pairs), b.rates,
-        _last_purchase(b), b.products, AS_OF, gap_cycle=GAP_CYCLE,
+        _last_purchase(b), b.products, AS_OF,
     )
 
 

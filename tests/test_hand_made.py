@@ -55,7 +55,6 @@ def test_longest_run_in_pieces(spark, flags, per_piece):
     df = spark.createDataFrame([(1, i, flag) for i, flag in enumerate(flags)][::-1], "k int, i int, f int")
     got = run_column(df, ["k"], ["i"], "f", F.floor(F.col("i") / per_piece))
     assert rows_of(got) == [(1, longest_run(flags))]
-    assert rows_of(run_column(df, ["k"], ["i"], "f")) == [(1, longest_run(flags))]
 
 
 def test_longest_run_of_random_histories(spark):
@@ -68,7 +67,7 @@ def test_longest_run_of_random_histories(spark):
     draw.shuffle(rows)
     df = spark.createDataFrame(rows, "k int, i int, f int")
     want = sorted((key, longest_run(flags)) for key, flags in histories.items())
-    for piece in (None, F.floor(F.col("i") / 7), F.floor(F.col("i") / 20)):
+    for piece in (F.lit(0), F.floor(F.col("i") / 7), F.floor(F.col("i") / 20)):
         assert rows_of(run_column(df, ["k"], ["i"], "f", piece)) == want
 
 
@@ -304,3 +303,27 @@ def test_last_train_order_context_with_several_orders(spark):
         {"user_id": 1, "order_id": 7, "product_id": 2, "order_dow": 4},
     ], "train")
     assert rows_of(training.train_contexts(train), "user_id", "order_id", "order_dow") == [(1, 7, 4)]
+
+
+def test_lines_without_an_order_or_user_make_no_group(spark):
+    lines = combined(spark, [
+        {"order_id": 1, "user_id": 1, "product_id": 1, "reordered": 1},
+        {"order_id": 2, "user_id": None, "product_id": 1, "reordered": 1, "order_dow": None, "order_hour_of_day": None},
+        {"order_id": None, "user_id": 1, "product_id": 2},
+    ])
+    assert rows_of(recommend.top_products_by_slot(lines), "order_dow", "order_hour_of_day", "count") == [(0, 0, 1), (0, 0, 1)]
+    assert {r["user_id"] for r in recommend.user_most_reordered(lines).collect()} == {1}
+    assert {r["user_id"] for r in training.last_train_orders(lines).collect()} == {1}
+    assert rows_of(explore.basket_sizes(lines)) == [(1, 1), (2, 1)]
+    assert explore.average_basket_size(lines).first()[0] == 1.0
+    assert reports.most_common_basket_size(lines).first()["n_orders"] == 2
+    assert reports.cross_category_orders(lines).first()["orders"] == 2
+
+
+def test_gaps_stop_at_the_highest_and_later_purchases_are_left_out(spark):
+    purchases = spark.sql(
+        "SELECT * FROM VALUES (1, DATE '2024-05-30'), (2, DATE '2023-01-01'), (3, DATE '2024-06-09'), "
+        "(4, DATE '2024-06-01'), (4, DATE '2024-07-01'), (null, DATE '2024-06-01') AS t(user_id, date)"
+    )
+    got = recommend.scoring_contexts(purchases, "2024-06-08 09:00:00")
+    assert rows_of(got, "user_id", "days_since_prior_order") == [(1, 9.0), (2, 30.0), (4, 7.0)]

@@ -110,6 +110,27 @@ def test_boosted_trees_stop_early(parts, constant_loss):
     check(model, parts, constant_loss)
 
 
+def test_small_steps_keep_growing_while_they_help(parts):
+    model = models.fit_boosted_trees(*parts, rounds=30, max_depth=3, step=0.02, patience=20)
+    assert len(model.stages[-1].trees) > 20
+    single = models.fit_boosted_trees(parts[0], rounds=1, max_depth=3, step=0.02)
+    losses = [models.log_loss(models.score(m, parts[1])).first()[0] for m in (model, single)]
+    assert losses[0] < losses[1]
+
+
+def test_best_round_waits_patiently():
+    assert models.best_round([3, 2, 2.5, 1, 4, 5, 0], patience=3) == 7
+    assert models.best_round([3, 2, 2.5, 1, 4, 5, 0], patience=2) == 4
+    assert models.best_round([3, 2, 1], patience=5) == 3
+    assert models.best_round([1, 2, 3, 0], patience=2) == 1
+
+
+def test_folds_do_not_depend_on_placement(parts):
+    grid = {"maxDepth": [2, 4], "minInstancesPerNode": [1, 3]}
+    chosen = [models.fit_decision_tree(p, grid, n_candidates=3, folds=2)[1] for p in (parts[0], parts[0].repartition(3))]
+    assert chosen[0] == chosen[1]
+
+
 def test_decision_tree_search(parts, constant_loss):
     grid = {"maxDepth": [3, 5], "minInstancesPerNode": [2, 5]}
     model, chosen = models.fit_decision_tree(parts[0], grid, n_candidates=2, folds=2)

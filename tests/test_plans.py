@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from checks.queries import BASKET_QUERIES, FLAGS, GAP_CYCLE
+from checks.queries import BASKET_QUERIES, FLAGS
 from tests.helpers import rows_of
 from trolley.plans import features, serve, train
 from trolley.schema import PAIR_FEATURES, PRODUCT_FEATURES, USER_FEATURES
@@ -41,7 +41,7 @@ def test_jobs_from_raw_files_to_recommendations(spark, baskets, tmp_path):
     assert rows_of(tables.read_table(spark, f"{trained}/training_set")) == rows_of(baskets.training_set)
 
     users = baskets.orders.select("user_id").distinct()
-    got = serve.run(spark, trained, users, "2001-08-02 14:00:00", k=5, gap_cycle=GAP_CYCLE)
+    got = serve.run(spark, trained, users, "2001-08-02 14:00:00", k=5)
     rows = got.collect()
     known = baskets.train.select("user_id").distinct().count()
     assert len({r["user_id"] for r in rows if not r["cold_start"]}) == known

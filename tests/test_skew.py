@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows_of
-from trolley.functions.joins import hot_keys, lookup_join, per_key
+from trolley.functions.joins import hot_keys, hot_share, lookup_join, per_key
 from trolley.operators import pair
 from trolley.sources import star
 
@@ -117,6 +117,38 @@ def test_pair_features_of_a_frequent_pair(spark, settings, per_piece):
         assert got[key]["u_p_orders_since_last"] == last[key[0]] - rows[-1]["order_number"]
 
 
+def test_a_long_history_with_many_lines_per_order(spark):
+    """200,000 lines of one pair in 500 orders, each order's lines all alike."""
+    key = F.col("id")
+    order = F.floor(key / 400).cast("int")
+    lines = spark.range(200_000).select(
+        order.alias("order_id"), F.lit(1).alias("user_id"), F.lit(7).alias("product_id"),
+        F.lit(1).alias("add_to_cart_order"), (order % 50 != 0).cast("int").alias("reordered"),
+        order.alias("order_number"),
+    )
+    for per_piece in (16, 1 << 14):
+        assert rows_of(pair.pair_max_streak(lines, per_piece)) == [(1, 7, 49 * 400)]
+        row = pair.user_product_features(lines, per_piece).first()
+        assert (row["max_streak"], row["u_p_reorder_rate"], row["u_p_orders_since_last"]) == (49 * 400, 0.98, 0)
+
+
+def test_streaks_start_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("streaks", "")
+    pair.user_product_features(skewed_lines(spark))
+    pair.pair_max_streak(skewed_lines(spark))
+    assert not tracker.getJobIdsForGroup("streaks")
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_the_limit_for_frequent_keys_follows_the_tasks(spark, settings):
+    weights = per_key(fact_rows(spark).filter("k IS NOT NULL"), "k")
+    settings(spark__sql__shuffle__partitions="4")
+    assert hot_share(weights) == 1 / 1000
+    settings(spark__sql__shuffle__partitions="20000")
+    assert hot_share(weights) == 1 / 20000
+
+
 def test_adaptive_execution_splits_a_skewed_join_of_two_shuffles(spark, settings):
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",

@@ -9,18 +9,25 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-# A key is frequent if it holds more than this share of all rows, so there are
-# fewer than 1000 frequent keys whatever the data.
+# A key is frequent if it holds more rows than an even share of a task, or more
+# than this share of all rows. There are at most max(tasks, 1000) frequent keys.
 HOT_SHARE = 1 / 1000
 
 
+def hot_share(df):
+    """The share of all rows above which a key is frequent in this session."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(HOT_SHARE, 1 / tasks)
+
+
 def per_key(df, *keys):
     """Rows per key, as weights for ``lookup_join``."""
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-def hot_keys(weights, keys, weight, share=HOT_SHARE):
+def hot_keys(weights, keys, weight, share=None):
     """Keys whose weight exceeds ``share`` of the total: fewer than 1 / share rows."""
+    share = hot_share(weights) if share is None else share
     total = weights.agg(F.sum(weight)).scalar()
     return weights.filter(F.col(weight) > total * F.lit(share)).select(*keys)
 
@@ -30,7 +37,7 @@ def _all_fields(columns):
 
 
 def lookup_join(
-    fact, table, keys, spread, weights, weight, how="left", share=HOT_SHARE, read=None
+    fact, table, keys, spread, weights, weight, how="left", share=None, read=None
 ):
     """Join ``table``, one row per key, to ``fact``.
 

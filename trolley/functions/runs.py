@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 SUMMARY_TYPE = "struct<n:long,lead:long,trail:long,best:long>"
 
-# Order numbers are ints; 2^16 per piece leaves at most 2^15 pieces to merge.
-ORDERS_PER_PIECE = 1 << 16
+# Order numbers are ints; 2^14 per piece leaves at most 2^17 pieces to merge.
+ORDERS_PER_PIECE = 1 << 14
 
 
 def _summary(n, lead, trail, best):
@@ -28,20 +28,24 @@ def _empty():
     return _summary(zero, zero, zero, zero)
 
 
-def summarise(flags):
-    """Summary of an array of structs (sort keys..., flag), in sorted order."""
+def summarise(counts):
+    """Summary of an array of structs (sort keys..., zeros, ones), in sorted order.
+
+    Rows that agree in their sort keys count as first the zeros, then the ones.
+    """
 
     def step(acc, item):
-        hit = item["flag"] == 1
-        trail = F.when(hit, acc["trail"] + 1).otherwise(F.lit(0))
+        zeros, ones = item["zeros"], item["ones"]
+        trail = F.when(zeros > 0, ones).otherwise(acc["trail"] + ones)
+        first = (zeros == 0) & (acc["lead"] == acc["n"])
         return _summary(
-            acc["n"] + 1,
-            F.when(hit & (acc["lead"] == acc["n"]), acc["lead"] + 1).otherwise(acc["lead"]),
+            acc["n"] + zeros + ones,
+            F.when(first, acc["lead"] + ones).otherwise(acc["lead"]),
             trail,
             F.greatest(acc["best"], trail),
         )
 
-    return F.aggregate(F.array_sort(flags), _empty(), step)
+    return F.aggregate(F.array_sort(counts), _empty(), step)
 
 
 def merge(pieces):
@@ -59,20 +63,26 @@ def merge(pieces):
     return F.aggregate(F.array_sort(pieces), _empty(), step)
 
 
-def history(order, flag):
-    """Aggregate: a group's flags with their sort keys, as ``summarise`` takes them."""
-    return F.collect_list(F.struct(*order, F.col(flag).alias("flag")))
+def counts(flag):
+    """Aggregates: rows whose flag is not 1, and rows whose flag is 1."""
+    ones = F.count_if(F.col(flag) == 1)
+    return (F.count("*") - ones).alias("zeros"), ones.alias("ones")
+
+
+def history(order):
+    """Aggregate: a group's ``counts`` with their sort keys, as ``summarise`` takes them."""
+    return F.collect_list(F.struct(*order, "zeros", "ones"))
 
 
-def longest_run(df, keys, order, flag, piece=None):
+def longest_run(df, keys, order, flag, piece):
     """Per key, the longest run of ``flag = 1`` in ``order``.
 
     ``piece`` numbers the bounded pieces a key's history is cut into; it must
-    not decrease along ``order``. Without it every history must be short.
+    not decrease along ``order``. Rows that agree in key and order are counted
+    first, so a piece is as short as it has different places in the order.
     """
-    if piece is None:
-        return df.groupBy(*keys).agg(summarise(history(order, flag))["best"].alias("longest_run"))
-    pieces = df.groupBy(*keys, piece.alias("piece")).agg(summarise(history(order, flag)).alias("run"))
+    counted = df.groupBy(*keys, *order).agg(*counts(flag))
+    pieces = counted.groupBy(*keys, piece.alias("piece")).agg(summarise(history(order)).alias("run"))
     return pieces.groupBy(*keys).agg(
         merge(F.collect_list(F.struct("piece", "run")))["best"].alias("longest_run")
     )

@@ -54,12 +54,12 @@ def reorder_rate_by_name(lines, k=None):
 
 def basket_sizes(lines):
     """Products per order."""
-    return lines.groupBy("order_id").agg(F.count("product_id").alias("basket_size"))
+    return lines.dropna(subset=["order_id"]).groupBy("order_id").agg(F.count("product_id").alias("basket_size"))
 
 
 def average_basket_size(lines):
     """Mean lines per order."""
-    per_order = lines.groupBy("order_id").agg(F.count("*").alias("n"))
+    per_order = lines.dropna(subset=["order_id"]).groupBy("order_id").agg(F.count("*").alias("n"))
     return per_order.agg(F.avg("n").alias("avg_cart_size"))
 
 

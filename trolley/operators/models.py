@@ -91,10 +91,11 @@ def fit_decision_tree(train, grid=None, n_candidates=10, folds=5, parallelism=4,
         estimatorParamMaps=maps,
         evaluator=MulticlassClassificationEvaluator(metricName="accuracy", labelCol=LABEL),
         numFolds=folds,
+        foldCol="fold",
         parallelism=parallelism,
         seed=seed,
     )
-    result = search.fit(filled(train))
+    result = search.fit(with_fold(filled(train), folds, seed))
     best = max(range(len(chosen)), key=lambda i: result.avgMetrics[i])
     return result.bestModel, chosen[best]
 
@@ -181,12 +182,25 @@ def fit_perceptron(train, hidden=None, max_iter=100, block_size=128, seed=SEED):
     return _pipeline(estimator, scaled=True).fit(filled(train))
 
 
+def best_round(losses, patience):
+    """Number of the round (from 1) with the least loss before ``patience`` rounds without a gain."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def fit_boosted_trees(
     train, validation=None, rounds=2000, max_depth=13, step=0.02, feature_share="all",
-    subsample=1.0, seed=SEED,
+    subsample=1.0, patience=20, seed=SEED,
 ):
-    """Gradient-boosted trees; rounds stop early when ``validation`` is given.
+    """Gradient-boosted trees; with ``validation``, only the rounds that help it.
 
+    All rounds are grown, the held-out loss of each is taken, and the model is
+    fitted again up to the best round before ``patience`` rounds without a gain.
     The defaults are ``SERVED_TREES``; ``EARLY_STOPPING_TREES`` go with a
     validation part. Each round is a pass over the data, and Spark grows trees
     level by level, so start with far smaller values.
@@ -197,12 +211,13 @@ def fit_boosted_trees(
     )
     ensure_checkpoints(train.sparkSession)
     train = filled(train)
-    if validation is not None:
-        estimator.setValidationIndicatorCol("held_out")
-        train = train.withColumn("held_out", F.lit(False)).unionByName(
-            filled(validation).withColumn("held_out", F.lit(True)), allowMissingColumns=True
-        )
-    return _pipeline(estimator).fit(train)
+    model = _pipeline(estimator).fit(train)
+    if validation is None:
+        return model
+    trees = model.stages[-1]
+    losses = trees.evaluateEachIteration(model.stages[0].transform(filled(validation)))
+    best = best_round(losses, patience)
+    return model if best == rounds else _pipeline(estimator.setMaxIter(best)).fit(train)
 
 
 def score(model, df):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.columns import ratio
 from trolley.functions.joins import lookup_join
-from trolley.functions.runs import ORDERS_PER_PIECE, history, longest_run, merge, summarise
+from trolley.functions.runs import ORDERS_PER_PIECE, counts, history, longest_run, merge, summarise
 
 PAIR = ["user_id", "product_id"]
 HISTORY_ORDER = ["order_number", "order_id"]
@@ -62,41 +62,39 @@ def pair_orders_since_last(prior):
     )
 
 
-def _piece(prior, orders_per_piece):
-    """Number of the piece a line's order falls in, or None if one piece holds all.
-
-    Looks up the highest order number, a scan of one column; a pair has at most
-    one line per order, so below the limit its history is short.
-    """
-    highest = prior.agg(F.max("order_number")).first()[0]
-    if highest is None or highest < orders_per_piece:
-        return None
+def _piece(orders_per_piece):
+    """Number of the piece a line's order falls in."""
     return F.floor(F.coalesce("order_number", F.lit(0)) / F.lit(orders_per_piece))
 
 
 def pair_max_streak(prior, orders_per_piece=ORDERS_PER_PIECE):
     """Longest run of reorders over a pair's purchases in order."""
-    piece = _piece(prior, orders_per_piece)
-    runs = longest_run(_pairs(prior), PAIR, HISTORY_ORDER, "reordered", piece)
+    runs = longest_run(_pairs(prior), PAIR, HISTORY_ORDER, "reordered", _piece(orders_per_piece))
     return runs.select(*PAIR, F.col("longest_run").cast("int").alias("max_streak"))
 
 
 def _pair_totals(prior, orders_per_piece):
-    """Per pair: lines, reorders, positions, last order and longest streak."""
-    piece = _piece(prior, orders_per_piece)
-    run = summarise(history(HISTORY_ORDER, "reordered"))
-    totals = [
-        F.count("*").alias("n"),
-        F.count_if(F.col("reordered") == 1).alias("reorders"),
+    """Per pair: lines, reorders, positions, last order and longest streak.
+
+    Lines are counted per order first, then joined in pieces of bounded length,
+    then the pieces are merged: a pair may hold any share of the lines.
+    """
+    sums = ("n", "reorders", "position_sum", "position_n")
+    orders = _pairs(prior).groupBy(*PAIR, *HISTORY_ORDER).agg(
         F.sum("add_to_cart_order").alias("position_sum"),
         F.count("add_to_cart_order").alias("position_n"),
+        *counts("reordered"),
+    )
+    added = [F.sum(c).alias(c) for c in ("position_sum", "position_n")]
+    pieces = orders.groupBy(*PAIR, _piece(orders_per_piece).alias("piece")).agg(
+        F.sum(F.col("zeros") + F.col("ones")).alias("n"),
+        F.sum("ones").alias("reorders"),
+        *added,
         F.max("order_number").alias("last_order"),
-    ]
-    if piece is None:
-        return _pairs(prior).groupBy(*PAIR).agg(*totals, run["best"].alias("streak"))
-    pieces = _pairs(prior).groupBy(*PAIR, piece.alias("piece")).agg(*totals, run.alias("run"))
+        summarise(history(HISTORY_ORDER)).alias("run"),
+    )
     return pieces.groupBy(*PAIR).agg(
-        *[F.sum(c).alias(c) for c in ("n", "reorders", "position_sum", "position_n")],
+        *[F.sum(c).alias(c) for c in sums],
         F.max("last_order").alias("last_order"),
         merge(F.collect_list(F.struct("piece", "run")))["best"].alias("streak"),
     )
@@ -105,9 +103,7 @@ def _pair_totals(prior, orders_per_piece):
 def user_product_features(prior, orders_per_piece=ORDERS_PER_PIECE):
     """All five features per (user, product).
 
-    The lines are aggregated once by pair; if a user has very many orders, in
-    bounded pieces that are then merged, so one pair may hold any share of the
-    lines. The user's totals come from their own two-column pass.
+    The user's totals come from their own two-column pass.
     """
     pairs = _pair_totals(prior, orders_per_piece)
     return _with_user_totals(pairs, prior).select(

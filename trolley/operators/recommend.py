@@ -19,7 +19,7 @@ def top_products_by_slot(prior, k=10):
     """The ``k`` most bought names per (day of week, hour), ties by name."""
     keys = ["order_dow", "order_hour_of_day"]
     counts = (
-        prior.filter(F.col("product_name").isNotNull())
+        prior.dropna(subset=[*keys, "product_name"])
         .groupBy(*keys, "product_name")
         .agg(F.count("*").alias("count"))
     )
@@ -49,16 +49,16 @@ def user_product_snapshot(pairs):
     return pairs.select("user_id", "product_id", *PAIR_FEATURES)
 
 
-def scoring_contexts(last_purchase, as_of, gap_cycle=None):
+def scoring_contexts(last_purchase, as_of, max_gap=30):
     """Per user: day, hour and days since the last purchase at a given time.
 
-    ``gap_cycle`` wraps the gap, for data whose gaps were wrapped.
+    The data's gaps stop at ``max_gap``, which stands for it or more. Purchases
+    after the given time and rows without a user are left out.
     """
     now = F.lit(as_of).cast("timestamp")
-    gap = F.datediff(F.to_date(now), "date")
-    if gap_cycle:
-        gap = F.pmod(gap, F.lit(gap_cycle))
-    latest = last_purchase.groupBy("user_id").agg(F.max("date").alias("date"))
+    gap = F.least(F.datediff(F.to_date(now), "date"), F.lit(max_gap))
+    past = last_purchase.filter(F.col("user_id").isNotNull() & (F.col("date") <= F.to_date(now)))
+    latest = past.groupBy("user_id").agg(F.max("date").alias("date"))
     return latest.select(
         "user_id",
         week_day(now).alias("order_dow"),
@@ -67,9 +67,9 @@ def scoring_contexts(last_purchase, as_of, gap_cycle=None):
     )
 
 
-def context_features(snapshot, rates, last_purchase, as_of, gap_cycle=None):
+def context_features(snapshot, rates, last_purchase, as_of, max_gap=30):
     """The 13 model features of every candidate pair at a given time."""
-    contexts = scoring_contexts(last_purchase, as_of, gap_cycle)
+    contexts = scoring_contexts(last_purchase, as_of, max_gap)
     return assemble(snapshot, contexts, rates).select("user_id", "product_id", *MODEL_FEATURES)
 
 
@@ -81,10 +81,14 @@ def top_scored(scored, products, k=10, probability="p"):
     )
 
 
-def recommend(users, model, snapshot, rates, last_purchase, products, as_of, k=10, gap_cycle=None):
-    """Best ``k`` products for each of the known users in one job."""
+def recommend(users, model, snapshot, rates, last_purchase, products, as_of, k=10, max_gap=30):
+    """Best ``k`` products for each of the known users in one job.
+
+    Only the users' own rows of the tables enter its joins.
+    """
     wanted = last_purchase.join(users, "user_id", "left_semi")
-    features = context_features(snapshot, rates, wanted, as_of, gap_cycle)
+    candidates = snapshot.join(users, "user_id", "left_semi")
+    features = context_features(candidates, rates, wanted, as_of, max_gap)
     return top_scored(score(model, features), products, k)
 
 
@@ -113,11 +117,11 @@ def split_known(users, last_purchase):
 def cold_start(users, by_slot, as_of):
     """The slot's popular names for each user.
 
-    The names, one short list fixed by the slot table's ``k``, become a literal,
-    so the users are neither joined nor shuffled.
+    The names, one short list bounded by the slot table's ``k``, are a scalar
+    subquery, so the users are neither joined nor shuffled.
     """
-    rows = slot_names(by_slot, as_of).orderBy("rank").select("product_name").collect()
-    names = F.array(*[F.lit(row["product_name"]) for row in rows]).cast("array<string>")
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "product_name")))
+    names = slot_names(by_slot, as_of).agg(ranked["product_name"].alias("names")).scalar()
     return users.select("user_id", F.posexplode(names).alias("position", "product_name")).select(
         "user_id", F.lit(True).alias("cold_start"), (F.col("position") + 1).alias("rank"), "product_name"
     )
@@ -138,7 +142,7 @@ def route(users, last_purchase, personal, by_slot, as_of):
 def user_most_reordered(prior, k=5):
     """Per user, the names reordered most often."""
     counts = (
-        prior.filter((F.col("reordered") == 1) & F.col("product_name").isNotNull())
+        prior.filter(F.col("reordered") == 1).dropna(subset=["user_id", "product_name"])
         .groupBy("user_id", "product_name")
         .agg(F.count("*").alias("count"))
     )

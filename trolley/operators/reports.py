@@ -149,7 +149,7 @@ def mean_reorder_cycle(prior):
 
 
 def _basket_rows(prior):
-    return prior.groupBy("order_id").agg(F.count("*").alias("basket_size"))
+    return prior.dropna(subset=["order_id"]).groupBy("order_id").agg(F.count("*").alias("basket_size"))
 
 
 def basket_histogram(prior, bins=30):
@@ -260,7 +260,8 @@ def segment_sizes(segments):
 
 def cross_category_orders(prior):
     """Orders spanning several departments, and their percent of all orders."""
-    by_department = prior.groupBy("order_id", "department").agg(F.count("*").alias("n"))
+    lines = prior.dropna(subset=["order_id"])
+    by_department = lines.groupBy("order_id", "department").agg(F.count("*").alias("n"))
     per_order = by_department.groupBy("order_id").agg(F.count("department").alias("n_departments"))
     return per_order.agg(
         F.count_if(F.col("n_departments") > 1).alias("multi_department_orders"),

@@ -34,7 +34,7 @@ def feature_summary(final):
 
 def last_train_orders(train):
     """Highest train order id per user."""
-    return train.groupBy("user_id").agg(F.max("order_id").alias("order_id"))
+    return train.dropna(subset=["user_id"]).groupBy("user_id").agg(F.max("order_id").alias("order_id"))
 
 
 def order_details(train):

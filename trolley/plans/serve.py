@@ -13,7 +13,7 @@ from trolley.session import build_session
 from trolley.sources.tables import read_table, write_table
 
 
-def run(spark, trained, users, as_of, k=10, gap_cycle=None):
+def run(spark, trained, users, as_of, k=10, max_gap=30):
     """Recommendations for every user in ``users`` (user_id) at ``as_of``."""
 
     def table(name):
@@ -30,7 +30,7 @@ def run(spark, trained, users, as_of, k=10, gap_cycle=None):
         table("product_map"),
         as_of,
         k,
-        gap_cycle,
+        max_gap,
     )
     return route(users, last_purchase, personal, table("slot_products"), as_of)
 

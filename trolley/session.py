@@ -1,5 +1,6 @@
 """Session settings and the shared folder for intermediate tables."""
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,7 +39,8 @@ def shared_dir(spark):
     configured = context.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    # "local-cluster" has executors of its own and needs the setting.
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="trolley-")
