@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; brute-force checks."""
 
 import io
+import math
 import random
 import re
 import zlib
@@ -280,8 +281,9 @@ def test_drop_near_duplicates_keeps_one_of_each(spark):
 def test_band_settings_reach_their_recall():
     for percent in (80, 85, 90):
         m = near_duplicates.collection_size(percent)
-        assert near_duplicates.candidate_chance(m, percent / 100) >= near_duplicates.RECALL
-        assert near_duplicates.candidate_chance(m, 0.3) < 0.01
+        n, least, s = 2 * m * near_duplicates.WIDTH, near_duplicates.agreement(m, percent), percent / 100
+        below = sum(math.comb(n, k) * s**k * (1 - s) ** (n - k) for k in range(least))
+        assert 1 - near_duplicates.table_chance(m, s) + below <= 1 - near_duplicates.RECALL
 
 
 def test_components_of_paths_stars_and_loops(spark):

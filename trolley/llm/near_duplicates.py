@@ -3,14 +3,17 @@
 A text's set is its distinct shingles of five words (fewer words: the whole
 sequence). Two small collections of ``m`` hash keys each, every key made of
 ``WIDTH`` minhashes, are combined pair by pair into m * m table keys: as many
-tables as 2 * m * WIDTH minhashes would never give one by one. ``m`` follows from
-the wanted similarity, so that a pair exactly at it shares a table key with
+tables as 2 * m * WIDTH minhashes would never give one by one. Candidates share a
+table key, and so many of the minhashes themselves, told by seven bits of each, as
+a pair at the wanted similarity does for all but a few in ten thousand. ``m``
+follows from the similarity, so that a pair exactly at it is a candidate with
 probability ``RECALL`` or more.
 
-Equal sets are one class from the start. In a table bucket the classes are
-compared with its first class, then, in growing numbers, with its next ones, but
-only across components that are still apart: a bucket of one component is done,
-so a big group of near copies costs about one comparison per member and bucket.
+Equal sets are one class from the start. Every class is compared with the
+smallest of its buckets' first classes; then the classes of a bucket are compared
+with its first ones, in growing numbers, but only across components that are
+still apart: a bucket of one component is done, so a big group of near copies
+costs about one comparison per member.
 Every comparison uses the full sets, recomputed from the texts; no pair of a bucket
 is left out unless it is already known to be connected.
 
@@ -22,6 +25,7 @@ comparisons. ``drop_near_duplicates`` removes a doc_id if none of its rows is ke
 and keeps all columns whatever their names. Empty tables give empty results.
 """
 
+import itertools
 import math
 
 import numpy as np
@@ -36,13 +40,28 @@ from trolley.llm.textscan import column_bytes, groups, mix, runs, word_hashes
 SHINGLE = 5
 WIDTH = 3
 RECALL = 0.998
+GROWTH = 64  # classes of a bucket compared with the rest: the first 64, then 4096 more
 CHUNK = 256  # comparisons with one class that share a task's copy of its text
 
 
+def table_chance(m, similarity):
+    """Probability that a pair shares a key in both collections, so a table key."""
+    return (1 - (1 - similarity**WIDTH) ** m) ** 2
+
+
 def collection_size(percent):
-    """Keys per collection for pairs at the similarity to meet in a table."""
-    miss = 1 - (percent / 100) ** WIDTH
-    return math.ceil(math.log(1 - math.sqrt(RECALL)) / math.log(miss))
+    """The fewest keys per collection that leave a quarter of the allowed misses to the sketch."""
+    return next(m for m in itertools.count(2) if 1 - table_chance(m, percent / 100) <= 0.75 * (1 - RECALL))
+
+
+def agreement(m, percent):
+    """Minhashes of the 2 * m * WIDTH that a pair must share; misses the rest of the allowed."""
+    n, s = 2 * m * WIDTH, percent / 100
+    below, least = 0.0, 0
+    while below + math.comb(n, least) * s**least * (1 - s) ** (n - least) <= 0.25 * (1 - RECALL):
+        below += math.comb(n, least) * s**least * (1 - s) ** (n - least)
+        least += 1
+    return least
 
 
 def shingle_sets(texts):
@@ -70,7 +89,7 @@ def _signatures(m):
     def run(batches):
         for batch in batches:
             texts = column_bytes(batch, "text")
-            sizes, sums, keys = [], [], []
+            sizes, sums, keys, sketches = [], [], [], []
             for start, end in groups(texts):
                 sets = shingle_sets(texts[start:end])
                 size = np.array([len(s) for s in sets])
@@ -78,6 +97,7 @@ def _signatures(m):
                 sizes.append(size)
                 total = np.zeros((end - start, 2), np.uint64)
                 key = np.zeros((end - start, 2 * m), np.uint64)
+                sketch = np.zeros((end - start, 2 * m * WIDTH), np.int8)
                 if len(full):
                     flat = np.concatenate([sets[i] for i in full])
                     at = np.concatenate(([0], np.cumsum(size[full])[:-1]))
@@ -86,31 +106,35 @@ def _signatures(m):
                     for k in range(2 * m):
                         joint = np.zeros(len(full), np.uint64)
                         for j in range(k * WIDTH, (k + 1) * WIDTH):
-                            joint = mix(joint ^ np.minimum.reduceat(flat * factors[j] + shifts[j], at))
+                            least = np.minimum.reduceat(flat * factors[j] + shifts[j], at)
+                            sketch[full, j] = (mix(least) >> np.uint64(57)).astype(np.int8)
+                            joint = mix(joint ^ least)
                         key[full, k] = joint
                 sums.append(total)
                 keys.append(key)
+                sketches.append(sketch)
             if not sizes:
                 continue
             size, total, key = np.concatenate(sizes), np.concatenate(sums).view(np.int64), np.concatenate(keys).view(np.int64)
 
             def lists(part):
                 flat = pa.array(np.ascontiguousarray(part).ravel())
-                return pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * m), flat)
+                return pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * part.shape[1]), flat)
 
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size), pa.array(total[:, 0].copy()), pa.array(total[:, 1].copy()),
-                 lists(key[:, :m]), lists(key[:, m:])],
-                names=["doc_id", "n_shingles", "sum_1", "sum_2", "left_keys", "right_keys"],
+                 lists(key[:, :m]), lists(key[:, m:]), lists(np.concatenate(sketches))],
+                names=["doc_id", "n_shingles", "sum_1", "sum_2", "left_keys", "right_keys", "sketch"],
             )
 
     return run
 
 
 def signatures(docs, m):
-    """Per row: set size, a digest of the whole set, and the two key collections."""
+    """Per row: set size, a digest of the whole set, the two key collections, and bits of all minhashes."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    schema = "doc_id long, n_shingles long, sum_1 long, sum_2 long, left_keys array<long>, right_keys array<long>"
+    schema = "doc_id long, n_shingles long, sum_1 long, sum_2 long, left_keys array<long>, " \
+        "right_keys array<long>, sketch array<byte>"
     return rows.mapInArrow(_signatures(m), schema)
 
 
@@ -171,13 +195,13 @@ def near_duplicates(docs, percent=80):
     signed = stored(signatures(docs, m), "dup_signatures")
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "sum_1", "sum_2"]
+    banded = ["left_keys", "right_keys", "sketch"]
     classes = stored(
-        usable.groupBy(*same).agg(
-            F.min("doc_id").alias("rep"), F.first("left_keys").alias("left_keys"), F.first("right_keys").alias("right_keys")
-        ), "dup_classes",
+        usable.groupBy(*same).agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in banded]), "dup_classes"
     )
-    nodes = classes.groupBy("rep").agg(F.min(F.struct("sum_1", "sum_2", "left_keys", "right_keys")).alias("s")).select("rep", "s.*")
-    labels = components(_links(docs, nodes, m, percent))
+    first = F.min(F.struct("sum_1", "sum_2", *banded))
+    nodes = classes.groupBy("rep").agg(first.alias("s")).select("rep", "s.*")
+    labels = _labels(docs, nodes, m, percent)
     own = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         *[F.col(c).alias(f"own_{c}") for c in same], F.coalesce("component", "rep").alias("component_id")
     )
@@ -191,48 +215,58 @@ def near_duplicates(docs, percent=80):
     )
 
 
-def _links(docs, nodes, m, percent):
-    """Links (a, b) between similar nodes: enough of them to connect what is connected."""
+def _labels(docs, nodes, m, percent):
+    """node and component of every node that is linked."""
     table_keys = F.array(*[
         F.xxhash64(F.lit(i * m + j), F.col("left_keys")[i], F.col("right_keys")[j]) for i in range(m) for j in range(m)
     ])
     buckets = nodes.select("rep", F.explode(table_keys).alias("key"))
     shared = stored(buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "dup_keys")
     rank = F.row_number().over(W.partitionBy("key").orderBy("rep"))
-    ranked = stored(buckets.join(shared, "key").select("key", "rep", rank.alias("rank")), "dup_buckets")
+    # Most keys are of one node; only the others get their sketches.
+    ranked = stored(
+        buckets.join(shared, "key").select("key", "rep", rank.alias("rank")).join(nodes.select("rep", "sketch"), "rep"),
+        "dup_buckets",
+    )
     wanted = ranked.select("rep").distinct().join(nodes.select("rep", "sum_1"), "rep").withColumnRenamed("rep", "b")
     texts = docs.select(F.col("doc_id").cast("long").alias("b"), F.col("text").cast("string"))
     texts = stored(texts.join(wanted, "b").select("b", "sum_1", "text"), "dup_texts")
 
-    found = tested = None
+    least = agreement(m, percent)
+    found = labels = tested = None
     start, width = 0, 1
     while True:
         # Nodes ranked above start and up to start + width are compared with all that follow them.
-        if found is None:
+        # The first time, each node is compared with just the smallest of its buckets' first nodes.
+        if labels is None:
             labelled = ranked.withColumn("component", F.col("rep"))
         else:
-            apart = components(found)
-            labelled = ranked.join(apart, ranked["rep"] == apart["node"], "left").select(
-                "key", "rep", "rank", F.coalesce("component", "rep").alias("component")
+            labelled = ranked.join(labels, ranked["rep"] == labels["node"], "left").select(
+                "key", "rep", "sketch", "rank", F.coalesce("component", "rep").alias("component")
             )
         rest = labelled.filter(F.col("rank") > start)
         several = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         rest = stored(rest.join(several.filter("lo < hi").select("key"), "key"), "dup_buckets")
         lead = rest.filter(F.col("rank") <= start + width).select(
-            "key", F.col("rep").alias("a"), F.col("rank").alias("a_rank"), F.col("component").alias("a_component")
+            F.col("key").alias("a_key"), F.col("rep").alias("a"), F.col("sketch").alias("a_sketch"),
+            F.col("rank").alias("a_rank"), F.col("component").alias("a_component"),
         )
-        pairs = rest.join(lead, "key").filter("rank > a_rank and component != a_component").select(
-            "a", F.col("rep").alias("b")
-        ).distinct()
+        agree = F.size(F.filter(F.zip_with("sketch", "a_sketch", lambda x, y: x == y), lambda x: x)) >= least
+        near = (F.col("key") == F.col("a_key")) & (F.col("rank") > F.col("a_rank"))
+        met = rest.join(lead, near & (F.col("component") != F.col("a_component")) & agree).withColumn("b", F.col("rep"))
+        pairs = met.select("a", "b").distinct() if labels is not None else met.groupBy("b").agg(F.min("a").alias("a"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "dup_pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        linked = similar_pairs(texts, pairs, percent)
-        found = stored(linked if found is None else found.unionByName(linked), "dup_links")
-        ranked, start, width = rest.select("key", "rep", "rank"), start + width, width * 8
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs)
+        linked = stored(similar_pairs(texts, pairs, percent), "dup_links")
+        found = linked if found is None else found.unionByName(linked)
+        ranked = rest.select("key", "rep", "sketch", "rank")
+        start, width = (0, GROWTH) if labels is None else (start + width, width * GROWTH)
+        if labels is None or not linked.isEmpty():
+            labels = components(found)
         if rest.filter(F.col("rank") > start + 1).isEmpty():
-            return found
+            return labels
 
 
 def drop_near_duplicates(docs, percent=80):
