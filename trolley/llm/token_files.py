@@ -41,13 +41,17 @@ from trolley.llm.common import scratch, stored
 # Fixed values of the zstandard seekable format.
 SKIPPABLE, SEEK_TABLE, SEEKABLE_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 NO_ID = -(2**63)  # stands for a null doc_id in the files
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 
 _encoders = {}
 
 
 class Encoder:
-    """Ids of texts as bytes; words met before are not encoded again."""
+    """Ids of texts as bytes; words met before are not encoded again.
+
+    ``recent`` and ``older`` hold at most ``CACHED_WORDS`` words each: when the
+    first is full it takes the place of the second, so frequent words stay.
+    """
 
     def __init__(self, path, dtype):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -55,29 +59,62 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings are ordinary text
-        self.dtype, self.known = dtype, {}
-
-    def _bytes(self, texts):
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        self.dtype, self.recent, self.older, self.tails = dtype, {}, {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.leads = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose bytes begin with a space
+        self.leads[[i for token, i in vocabulary.items() if token[0] == "\u0120"]] = True
+
+    def _ids(self, text):
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
+
+    def _words(self, words):
+        """Bytes of each word with a space before it."""
+        if not words:
+            return []
+        ids = self._ids(" " + " ".join(words))
+        width = np.dtype(self.dtype).itemsize
+        cuts = (np.flatnonzero(self.leads[ids]) * width).tolist()
+        data = ids.astype(self.dtype).tobytes()
+        return [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
+
+    def _learn(self, words):
+        """Add new words. Signs after a letter or digit are a token group of their own."""
+        recent, tails = self.recent, self.tails
+        parts = []
+        for word in words:
+            stem = word.rstrip(_SIGNS)
+            if len(stem) == len(word) or not stem[-1:].isalnum():
+                parts.append((word, word, ""))
+            else:
+                parts.append((word, stem, word[len(stem) :]))
+        new = list({stem for _, stem, _ in parts}.difference(recent))
+        recent.update(zip(new, self._words(new)))
+        for tail in {t for _, _, t in parts}.difference(tails):
+            tails[tail] = self._ids(tail).astype(self.dtype).tobytes() if tail else b""
+        recent.update((word, recent[stem] + tails[tail]) for word, stem, tail in parts if tail)
+        if len(tails) > CACHED_WORDS:
+            tails.clear()
 
     def encode(self, texts):
         """One byte string per text."""
-        apart = [not _MEETING.search(t) for t in texts]
-        whole = iter(self._bytes([t if not a else "" for t, a in zip(texts, apart)]))
-        # The first word has no space before it, all others do.
-        split = [t.split(" ") if a else [""] for t, a in zip(texts, apart)]
-        first = iter(self._bytes([words[0] for words in split]))
-        known = self.known
-        wanted = set().union(*[words[1:] for words in split])
-        new = list(wanted.difference(known))
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(wanted)
-        known.update(zip(new, self._bytes([f" {w}" for w in new])))
-        return [next(whole) + next(first) + b"".join([known[w] for w in words[1:]]) for words in split]
-
-
+        split = [None if _MEETING.search(t) else t.split(" ") for t in texts]
+        wanted = set().union(*[words[1:] for words in split if words])
+        recent, older = self.recent, self.older
+        missing = wanted.difference(recent)
+        again = missing.intersection(older)
+        recent.update((w, older[w]) for w in again)
+        self._learn(missing.difference(again))
+        done = []
+        for text, words in zip(texts, split):
+            first = text if words is None else words[0]  # the first word has no space before it
+            head = self._ids(first).astype(self.dtype).tobytes() if first else b""
+            done.append(head + b"".join([recent[w] for w in words[1:]]) if words else head)
+        if len(recent) > CACHED_WORDS:
+            self.recent, self.older = {}, recent
+        return done
+
+
+_SIGNS = ".,;:!?)|%*#&$\""
 # White space after white space; there, words are not encoded alone.
 _MEETING = re.compile(r"\s\s")
 
