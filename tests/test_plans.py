@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.queries import BASKET_QUERIES, FLAGS
 from tests.helpers import rows_of
-from trolley.plans import features, serve, train
+from trolley.operators import recommend
+from trolley.operators.rates import RATE_KEYS
+from trolley.plans import features, report, serve, train
 from trolley.schema import PAIR_FEATURES, PRODUCT_FEATURES, USER_FEATURES
 from trolley.sources import tables
 
@@ -34,6 +37,11 @@ def test_jobs_from_raw_files_to_recommendations(spark, baskets, tmp_path):
     stored = tables.read_table(spark, f"{processed}/user_product_features")
     assert rows_of(stored) == rows_of(baskets.pairs)
 
+    names = report.run(spark, processed, f"{trained}/reports")
+    assert len(names) == 32
+    got = tables.read_table(spark, f"{trained}/reports/customer_stats")
+    assert rows_of(got) == rows_of(BASKET_QUERIES["customer_stats"](baskets))
+
     scores = train.run(
         spark, processed, trained, rounds=5, max_depth=3, step=0.2, order_dates=baskets.order_dates
     ).first()
@@ -41,6 +49,11 @@ def test_jobs_from_raw_files_to_recommendations(spark, baskets, tmp_path):
     assert rows_of(tables.read_table(spark, f"{trained}/training_set")) == rows_of(baskets.training_set)
 
     users = baskets.orders.select("user_id").distinct()
+    snapshot = tables.read_table(spark, f"{trained}/serving/user_product_snapshot")
+    rate_tables = {n: tables.read_table(spark, f"{trained}/serving/{n}") for n in RATE_KEYS}
+    purchases = tables.read_table(spark, f"{trained}/serving/user_last_purchase")
+    scored = recommend.context_features(snapshot, rate_tables, purchases, "1998-08-20 14:00:00")
+    assert scored.count() and not scored.filter(~F.col("days_since_prior_order").between(0, 30)).count()
     got = serve.run(spark, trained, users, "2001-08-02 14:00:00", k=5)
     rows = got.collect()
     known = baskets.train.select("user_id").distinct().count()
