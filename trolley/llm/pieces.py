@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 from trolley.llm.textscan import groups, mix
 
 MARK = "▁"
-CACHED_UNITS = 250_000
+CACHED_UNITS = 120_000
+GROUP = 1 << 20  # characters sampled together
 _LATIN, _SIGN = r"A-Za-zÀ-ÖØ-öø-ɏ", r"\x00-\x1f!-@\[-`{-\x7f"
 _UNITS = re.compile(rf" *[{_LATIN}]+(?=[{_SIGN} ]|\Z)| *[{_SIGN}]+(?=[{_LATIN} ]|\Z)| *[^ ]+| +", re.S)
 _SPACED = re.compile(r" *[^ ]+| +", re.S)
@@ -245,7 +246,7 @@ def _each(batches, path, alpha, seed, make):
         texts = batch.column(batch.num_columns - 1).to_pylist()
         keys = row_keys(batch.column(batch.num_columns - 2).to_pylist(), seed)
         coder, out = model(path, alpha), []
-        for start, end in groups([t or "" for t in texts], 1 << 21):
+        for start, end in groups([t or "" for t in texts], GROUP):
             part = texts[start:end]
             found = coder.sample([t or "" for t in part], keys[start:end])
             out += [make(coder, t, p) for t, p in zip(part, found)]
@@ -254,17 +255,28 @@ def _each(batches, path, alpha, seed, make):
 
 
 def encode(docs, path, alpha=1.0, seed=13, key="doc_id", column="text", pieces="pieces"):
-    """``docs`` with the sampled piece ids of the column."""
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def sampled(ids: pd.Series, texts: pd.Series) -> pd.Series:
-        keys = row_keys([None if pd.isna(i) else i for i in ids], seed)
-        plain = [t if isinstance(t, str) else "" for t in texts]
-        found = []
-        for start, end in groups(plain, 1 << 21):
-            found += model(path, alpha).sample(plain[start:end], keys[start:end])
-        return pd.Series([p.astype(np.int32) if isinstance(t, str) else None for p, t in zip(found, texts)])
-
-    return docs.withColumn(pieces, sampled(F.col(key).cast("long"), F.col(column).cast("string")))
+    """``docs`` with the sampled piece ids of the column; a column called ``pieces`` is replaced."""
+    rest = docs.drop(pieces)
+    names = rest.columns
+    at_key, at_text = names.index(key), names.index(column)
+    schema = T.StructType([*rest.schema.fields, T.StructField(pieces, T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(at_text).to_pylist()
+            keys = row_keys(batch.column(at_key).to_pylist(), seed)
+            for start, end in groups([t or "" for t in texts], GROUP):
+                part = texts[start:end]
+                found = model(path, alpha).sample([t or "" for t in part], keys[start:end])
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)),
+                    mask=pa.array([t is None for t in part]),
+                )
+                columns = batch.slice(start, end - start).columns
+                yield pa.RecordBatch.from_arrays([*columns, lists], names=[*names, pieces])
+
+    return rest.mapInArrow(run, schema)
 
 
 def decode(rows, path, alpha=1.0, pieces="pieces", column="text"):
