@@ -162,6 +162,18 @@ def test_pieces_do_not_depend_on_neighbours_or_cache(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(together, apart))
 
 
+def test_pieces_of_more_units_than_the_cache_holds(monkeypatch):
+    texts = [prose(1, 30), " ".join(f"{w}q{i}" for i, w in enumerate(prose(2, 400).split())) + " 日本 ▁ü", prose(1, 30), ""]
+    keys = pieces.row_keys(range(4), 3)
+    whole = pieces.Model(PIECES, 1.0).sample(texts, keys)
+    monkeypatch.setattr(pieces, "CACHED_UNITS", 100)
+    small = pieces.Model(PIECES, 1.0)
+    apart = [small.sample([t], keys[i : i + 1])[0] for i, t in enumerate(texts)]
+    for got in (apart, small.sample(texts, keys)):
+        assert all(np.array_equal(a, b) for a, b in zip(whole, got))
+    assert len(small.units) <= 100 and [small.decode(p) for p in apart] == texts
+
+
 # --- 3 ----------------------------------------------------------------------
 
 def luhn(digits):

@@ -21,6 +21,7 @@ written in bytes, so decoding is lossless for every text. Other columns are kept
 ``encode``, whatever their names.
 """
 
+import itertools
 import re
 import zlib
 
@@ -71,6 +72,8 @@ class Model:
         order = sorted(self.text.values(), key=lambda i: -model.get_score(i))
         self.weight = np.full(n, -alpha * np.log(len(order) + 2.0))
         self.weight[order] = -alpha * np.log(np.arange(2, len(order) + 2))
+        self.spelled = []  # byte pieces of a character; edge_piece -1 - k is the k-th
+        self.spelled_at = {}
         self._index()
         self._clear()
 
@@ -95,8 +98,6 @@ class Model:
         self.reach = np.zeros(0)  # node number + cumulative probability of its edges
         self.edge_from, self.edge_piece = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.nodes = 0
-        self.spelled = []  # byte pieces of a character; edge_piece -1 - k is the k-th
-        self.spelled_at = {}
 
     def _edges(self, codes, starts, ends):
         """(from, to, piece, log weight) of all edges of units in one array of characters."""
@@ -136,8 +137,6 @@ class Model:
 
     def learn(self, units):
         """Filter the lattices of units not met before."""
-        if len(self.units) + len(units) > CACHED_UNITS:
-            self._clear()
         text = "".join(units)
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         sizes = np.array([len(u) for u in units])
@@ -180,19 +179,30 @@ class Model:
     def sample(self, texts, keys):
         """Piece ids of every text, drawn by its key (unsigned 64-bit)."""
         split = [self.cut.findall(" " + t) if t else [] for t in texts]
-        new = list(set().union(*split).difference(self.units))
-        if new:
-            known = len(self.units)
-            self.learn(new)
-            if len(self.units) < known + len(new):  # the cache was cleared
-                rest = list(set().union(*split).difference(self.units))
-                if rest:
-                    self.learn(rest)
         sizes = np.array([len(s) for s in split])
-        units = self.units
-        which = np.array([units[u] for s in split for u in s], np.int64)
-        within = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        flat = list(itertools.chain.from_iterable(split))
+        if not flat:
+            return [np.zeros(0, np.int64) for _ in texts]
+        within = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         base = mix(np.repeat(keys, sizes) + within.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        # More distinct units than the cache holds are sampled in runs, each with no more.
+        run = len(flat) if len(set(flat)) <= CACHED_UNITS else CACHED_UNITS
+        done = [self._draw(flat[k : k + run], base[k : k + run]) for k in range(0, len(flat), run)]
+        pieces, count = (np.concatenate(c) for c in zip(*done))
+        bounds = np.concatenate(([0], np.cumsum(count)))[np.concatenate(([0], np.cumsum(sizes)))]
+        return [self._spell(pieces[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+
+    def _draw(self, flat, base):
+        """Pieces of the units of a list, and their number for each; ``base`` has the units' draws."""
+        wanted = set(flat)
+        new = wanted.difference(self.units)
+        if len(self.units) + len(new) > CACHED_UNITS:
+            self._clear()
+            new = wanted
+        if new:
+            self.learn(list(new))
+        units = self.units
+        which = np.array([units[u] for u in flat], np.int64)
         node, active, steps = self.last[which], np.arange(len(which)), []
         step = 0
         while len(active):
@@ -203,8 +213,6 @@ class Model:
             node = self.edge_from[edge]
             active, node = active[node >= 0], node[node >= 0]
             step += 1
-        if not steps:
-            return [np.zeros(0, np.int64) for _ in texts]
         # The draws went backwards: a unit's pieces are in falling order of their step.
         count = np.zeros(len(which), np.int64)
         for at, _ in steps:
@@ -213,8 +221,7 @@ class Model:
         pieces = np.empty(after[-1], np.int64)
         for k, (at, piece) in enumerate(steps):
             pieces[after[at] - 1 - k] = piece
-        bounds = np.concatenate(([0], after))[np.concatenate(([0], np.cumsum(sizes)))]
-        return [self._spell(pieces[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        return pieces, count
 
     def _spell(self, pieces):
         if not len(pieces) or pieces.min() >= 0:
