@@ -218,6 +218,29 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert pii.pseudonymise(docs(spark, rows).limit(0)).count() == 0
 
 
+NEXT = {
+    "4944 3394 9042 9605": ["12/27", "123", "12 and", "123-45-6789", "10.0.0.1", "212-555-0123", "EUR 5"],
+    "4944339490429605": ["123", "EUR"], "AT61 1904 3002 3457 3201": ["EUR", "EUR 12", "BANK", "1234", "4944 3394 9042 9605"],
+    "AT611904300234573201": ["EUR", "12", "BANK OF"], "DE89370400440532013000": ["EUR", "1234 56"],
+    "+49 170 1234 5678": ["9012", "EUR"], "123-45-6789": ["12", "EUR"], "10.0.0.1": ["12", "EUR", "10:00:00"],
+    "2021-02-28": ["12", "EUR", "10:00:00"], "28.02.2021": ["10:00", "UTC"],
+}
+
+
+def test_pseudonyms_of_values_with_neighbours(spark):
+    alone = {v: i for i, v in enumerate([*NEXT, "2021-02-28T10:00:00Z", "28.02.2021T10:00"])}
+    cases = [(v, tail) for v, tails in NEXT.items() for tail in tails]
+    rows = [(i, f"see {v}") for v, i in alone.items()] + [(100 + i, f"see {v} {tail}") for i, (v, tail) in enumerate(cases)]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (value, tail) in enumerate(cases):
+        new = got[alone[value]]
+        assert new != f"see {value}" and got[100 + i].startswith(f"{new} "), (value, tail, got[100 + i])
+        hidden = tail in ("123-45-6789", "10.0.0.1", "212-555-0123", "4944 3394 9042 9605")
+        assert (got[100 + i] == f"{new} {tail}") != hidden, (value, tail, got[100 + i])
+    assert got[alone["2021-02-28T10:00:00Z"]] == got[alone["2021-02-28"]] + "T10:00:00Z"
+    assert got[alone["28.02.2021T10:00"]] == got[alone["28.02.2021"]] + "T10:00"
+
+
 def test_pseudonyms_are_permutations(spark):
     rows = [(i, f"10.0.{i // 256}.{i % 256}") for i in range(2000)] + [(5000 + i, f"{i % 28 + 1:02d}.05.{1990 + i // 28}") for i in range(500)]
     got = pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text").collect()

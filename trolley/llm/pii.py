@@ -14,7 +14,9 @@ domain of a mail address, the name in front of a secret, and candidates that do
 not hold up.
 
 Edge cases: a null text stays null, an empty one empty; a text without findings
-is returned unchanged; overlapping candidates are taken from the left. Every
+is returned unchanged; overlapping candidates are taken from the left; a
+card's or phone's last groups are left out where the number holds up only without
+them. Every
 row is treated alone, so repeated rows get equal results, and all columns are kept
 whatever their names.
 """
@@ -27,7 +29,27 @@ ROUNDS = 8
 CHUNK = 9  # characters permuted together; 26^9 values fit a long
 
 _EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*"
-_IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# How long a bank number is in each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_form(length, countries):
+    tail = f" ?[A-Z0-9]{{{length % 4}}}" if length % 4 else ""
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{length // 4 - 1}}}{tail}"
+
+
+_KNOWN = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+# Other countries' numbers are taken as long as they go, and shortened if they do not hold up.
+_IBAN = (
+    f"(?:{'|'.join(_iban_form(*form) for form in IBAN_LENGTHS.items())}"
+    rf"|(?!{_KNOWN})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])"
+)
 _ACCESS_KEY = r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
 _SECRET = r"""(?i:password|passwd|secret|token|api[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9+/_-]{8,}+"""
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
@@ -37,7 +59,11 @@ _PHONE = (
     r"(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-. ]\d{4}(?!\d)"
     r"|\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|\+\d{8,15}(?!\d)"
 )
-_CARD = r"(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
+# A short group after 16 digits is left alone where it begins a date, an address or a number of its own.
+_CARD = (
+    r"(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3}(?![./:-]?\d| \d{3}[-. ]\d{4}|[A-Za-z]))?"
+    r"|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
+)
 # Order decides between kinds that begin at the same place.
 KINDS = {
     "email": _EMAIL, "iban": _IBAN, "access_key": _ACCESS_KEY, "secret": _SECRET, "ip": _IP, "date": _DATE,
@@ -45,7 +71,7 @@ KINDS = {
 }
 _FIND = (
     rf"(?<![A-Za-z0-9._%+-]){_EMAIL}|(?<![A-Za-z0-9])(?:{_IBAN}|{_ACCESS_KEY}|{_SECRET})"
-    rf"|(?<![A-Za-z0-9.+-])(?:{_IP}|{_DATE}|{_SSN}|{_PHONE}|{_CARD})(?![A-Za-z])"
+    rf"|(?<![A-Za-z0-9.+-])(?:{_DATE}(?:(?=[Tt]\d)|(?![A-Za-z]))|(?:{_IP}|{_SSN}|{_PHONE}|{_CARD})(?![A-Za-z]))"
 )
 # Every candidate holds one of these; texts without them are not searched.
 _HINT = r"[0-9@]|[Pp]ass|[Ss]ecret|[Tt]oken|PASS|SECRET|TOKEN|(?i:api.?key)"
@@ -159,13 +185,20 @@ def _luhn(digits):
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
 
 
+def _own(m, own, replaced):
+    """``replaced`` of the part that a finding begins with, and the rest as it is."""
+    return _let(own, lambda x: F.concat(replaced(x), m.substr(F.length(x) + 1, F.length(m))))
+
+
 def _card(m, key):
-    def one(digits):
+    def one(m, digits):
         moved = F.concat(digits.substr(1, 1), permute(digits.substr(F.lit(2), F.length(digits) - 2), key, "card"))
         checked = _let(moved, lambda x: F.concat(x, F.pmod(10 - _luhn(F.concat(x, F.lit("0"))), F.lit(10)).cast("string")))
         return F.when(_luhn(digits) % 10 == 0, _fill(m, checked)).otherwise(m)
 
-    return _let(_plain(m), one)
+    # A short last group belongs to the card only if the longer number holds up.
+    own = F.when(_luhn(_plain(m)) % 10 == 0, m).otherwise(F.regexp_replace(m, r"^(\d{4}(?:[ -]\d{4}){3})[ -]\d{1,3}$", "$1"))
+    return _own(m, own, lambda m: _let(_plain(m), lambda digits: one(m, digits)))
 
 
 def _mod97(text):
@@ -177,25 +210,40 @@ def _mod97(text):
     return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), add)
 
 
+def _valid_iban(plain):
+    return _mod97(F.concat(plain.substr(F.lit(5), F.length(plain)), plain.substr(1, 4))) == 1
+
+
 def _iban(m, key):
-    def one(plain):
+    def one(m, plain):
         country, account = plain.substr(1, 2), plain.substr(F.lit(5), F.length(plain))
-        valid = _mod97(F.concat(account, country, plain.substr(3, 2))) == 1
         new = _let(permute(account, key, "iban"), lambda x: F.concat(
             country, F.lpad((98 - _mod97(F.concat(x, country, F.lit("00")))).cast("string"), 2, "0"), x
         ))
-        return F.when(valid, _fill(m, new)).otherwise(m)
+        return F.when(_valid_iban(plain), _fill(m, new)).otherwise(m)
 
-    return _let(_plain(m), one)
+    # Of a number of unknown length, the words at the end are dropped until it holds up.
+    words = F.split(m, " ")
+    shorter = F.transform(
+        F.reverse(F.sequence(F.lit(1), F.size(words))), lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")
+    )
+    holding = F.filter(shorter, lambda x: _valid_iban(_plain(x)) & (F.length(_plain(x)) >= 12))
+    own = F.when(m.rlike(f"^(?:{_KNOWN})"), m).otherwise(F.coalesce(F.get(holding, F.lit(0)), m))
+    return _own(m, own, lambda m: _let(_plain(m), lambda plain: one(m, plain)))
 
 
 def _phone(m, key):
-    prefix = F.regexp_extract(m, r"^(\+?1(?=[ .(-])|\+\d{1,2}(?=[ .(-])|\+\d{2})?", 0)
-    rest = m.substr(F.length(prefix) + 1, F.length(m))
-    digits = F.length(_plain(m))
-    return F.when(
-        digits.between(9, 15), F.concat(prefix, _let(permute(_plain(rest), key, "phone"), lambda x: _fill(rest, x)))
-    ).otherwise(m)
+    def one(m):
+        prefix = F.regexp_extract(m, r"^(\+?1(?=[ .(-])|\+\d{1,2}(?=[ .(-])|\+\d{2})?", 0)
+        rest = m.substr(F.length(prefix) + 1, F.length(m))
+        digits = F.length(_plain(m))
+        return F.when(
+            digits.between(9, 15), F.concat(prefix, _let(permute(_plain(rest), key, "phone"), lambda x: _fill(rest, x)))
+        ).otherwise(m)
+
+    # Groups beyond 15 digits are not the number's own.
+    own = F.when(F.length(_plain(m)) <= 15, m).otherwise(F.regexp_extract(m, r"^\+(?:[ .()-]*\d){9,15}(?=[ .-])|^", 0))
+    return _own(m, own, one)
 
 
 def _walk(start, valid, step, limit=40):
