@@ -384,6 +384,18 @@ def test_encoder_equals_the_library_on_odd_spaces(monkeypatch):
         assert coder.encode(part) == want
 
 
+def test_encoder_gives_added_tokens_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>b x.<|endoftext|>", "one two <|endoftext| > <|endof", "a  b <|endoftext|>"]
+    plain, coder = Tokenizer.from_file(BPE), token_files.Encoder(BPE, "<u2")
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(data, "<u2").tolist() for data in coder.encode(texts)] == want
+    assert want[0] == [64, 220, 50256, 275]
+    got = token_files.read_tokens(token_files.write_tokens(docs(spark, list(enumerate(texts))), BPE, 2)).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: [*ids, 2] for i, ids in enumerate(want)}
+
+
 def test_token_file_reads_one_frame_and_finds_damage():
     out = io.BytesIO()
     data = [(3, np.arange(n, dtype="<u2").tobytes()) for n in (5, 0)] + [(9, np.arange(1000, dtype="<u2").tobytes())]

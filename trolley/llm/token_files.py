@@ -9,9 +9,10 @@ decompresses nothing else; the checksum (low 32 bits of XXH64 over the ids' byte
 verified for each frame read.
 
 Byte-level BPE ids of a text are those of its space-led words one after another
-as long as no two white-space characters meet, so such texts are looked up word by
-word and the library encodes each distinct word once per worker; all other texts are
-encoded whole.
+as long as no two white-space characters meet and no added token such as
+``<|endoftext|>`` occurs, so such texts are looked up word by word and the library
+encodes each distinct word once per worker; all other texts are encoded whole, and
+added tokens get their own ids, as by the library's default.
 
 Files go below the shared folder through pyarrow's file systems, which name local
 paths and object stores alike. Every attempt of a task writes a file of its own
@@ -58,7 +59,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings are ordinary text
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Where one of these occurs, words are not encoded alone.
+        self.whole = re.compile("|".join([_MEETING, *sorted(added, key=len, reverse=True)]))
         self.dtype, self.recent, self.older, self.tails = dtype, {}, {}, {}
         vocabulary = self.tokenizer.get_vocab()
         self.leads = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose bytes begin with a space
@@ -97,7 +100,7 @@ class Encoder:
 
     def encode(self, texts):
         """One byte string per text."""
-        split = [None if _MEETING.search(t) else t.split(" ") for t in texts]
+        split = [None if self.whole.search(t) else t.split(" ") for t in texts]
         wanted = set().union(*[words[1:] for words in split if words])
         recent, older = self.recent, self.older
         missing = wanted.difference(recent)
@@ -115,8 +118,8 @@ class Encoder:
 
 
 _SIGNS = ".,;:!?)|%*#&$\""
-# White space after white space; there, words are not encoded alone.
-_MEETING = re.compile(r"\s\s")
+# White space after white space.
+_MEETING = r"\s\s"
 
 
 def encoder(path, dtype):
