@@ -456,6 +456,26 @@ def test_pages(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_ordinary_markup_keeps_its_text(spark):
+    tree, body = html_text.train_tree(spark), " ".join(["Plain words of the article and some more of them"] * 5)
+
+    def page(part):
+        return html_text.main_text(f"<nav><a href=1>Home</a></nav><article><h1>Title here</h1><p>{body}</p>{part}<p>{body} end</p></article>", tree)
+
+    def kept(n):
+        return "\n".join(["Title here", body, *[body] * n, f"{body} end"])
+
+    for part in ('<svg viewBox="0 0 1 1" />', '<svg/>', "<svg width='1'><path d=x /><text>no</text></svg>"):
+        assert page(part) == kept(0)
+    for start in ('<p title="The hidden valley">', "<p data-x='class=menu' alt='style = hidden'>", '<section id="social-history"><p>',
+                  '<section id=related-work><p>', '<div class="commentary"><p>', '<div class="navy notation"><p>'):
+        assert page(start + body) == kept(1), start
+    assert page(f'<h2 id="related-work">Related work</h2><p>{body}</p>') == kept(1).replace(f"{body}\n{body}\n", f"{body}\nRelated work\n{body}\n")
+    for start in ("<p hidden>", '<div class="comments-area">', '<div id="comments">', '<div id="relatedPosts">', '<div class="social-share">',
+                  '<div id="cookie-banner">', '<div class=advertisement>', '<div class="x newsletter-signup">', '<div id="wp-sidebar-2">'):
+        assert page(f"{start}{body}</div>") == kept(0), start
+
+
 def test_tree_fits_its_table(spark):
     tree = html_text.train_tree(spark)
     assert all(html_text._is_main(tree, x) == bool(y) for x, y in html_text.labelled_blocks())

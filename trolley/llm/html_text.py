@@ -40,13 +40,30 @@ UNWANTED = (
 )
 UNWANTED_WORDS = frozenset("ad ads aside form search promoted legal copyright complementary contentinfo navigation".split())
 WANTED_WORDS = frozenset("article main".split())
+# Words that say where something stands or what holds it, not what it is about.
+LAYOUT_WORDS = (
+    "above action actions after area articles bar before below block body bottom box button buttons by card column "
+    "container content dialog entries feed float footer form global group header icon icons inner item items js jp left "
+    "link links list main mw number outer page panel policy post posts primary region right root row secondary section "
+    "site slot stories text thread title to top under unit us view wp wrap wrapper zone"
+).split()
+# Parts of page layouts by name; an id with one of these is never about an article's matter.
+LAYOUT_PARTS = ("adsby", "breadcrumb", "disqus", "footer", "masthead", "navbar", "pager", "pagination", "popup", "sidebar", "toolbar", "topbar")
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|template|iframe|svg|noscript|noframes|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<svg\b(?:[^>\"'/]|\"[^\"]*\"|'[^']*'|/(?!>))*+/>"
+    r"|<(script|style|title|textarea|template|iframe|svg|noscript|noframes|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*(?:>|\Z)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_ATTRIBUTES = frozenset("class id role style hidden aria-hidden".split())
+# An unwanted word whole, with an ending, or run together with words of layout.
+_UNWANTED = re.compile(
+    rf"(?:{'|'.join(UNWANTED)})(?:s|es|r|er|ers|ing|isement|isements|ising|ised|ed|ional|be|bed|bers?|ption|ptions|ies|igation|ense"
+    rf"|(?:{'|'.join((*LAYOUT_WORDS, *UNWANTED))})s?)*"
+)
+_LAYOUT = frozenset((*LAYOUT_WORDS, *WANTED_WORDS))
 _WORD = re.compile(r"[a-z]+")
 
 FEATURES = (
@@ -55,20 +72,40 @@ FEATURES = (
 )
 
 
+def _is_unwanted(name, value):
+    """Whether a class, role or id names boilerplate.
+
+    Classes and roles are names of layout, so any of their words counts. Ids are often
+    made from headings, so all their words must be of layout.
+    """
+    for token in value.split():
+        words = _WORD.findall(token)
+        hits = [w in UNWANTED_WORDS or _UNWANTED.fullmatch(w) is not None for w in words]
+        if any(hits) and (
+            name != "id" or all(hit or w in _LAYOUT for w, hit in zip(words, hits))
+            or any(hit and w.startswith(LAYOUT_PARTS) for w, hit in zip(words, hits))
+        ):
+            return True
+    return False
+
+
 def _hints(tag, attributes):
     """(unwanted, header, main) of a tag's own name, class, id and role."""
     unwanted, header, main = tag in BOILERPLATE, tag == "header", tag in MAIN
     if attributes and tag not in ("html", "body"):
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
+            if name not in _ATTRIBUTES:
+                continue
             if name == "style":
                 unwanted |= "display:none" in value.replace(" ", "")
             elif name in ("hidden", "aria-hidden"):
                 unwanted |= value in ("", "true", "hidden")
             else:
+                # A heading's id is its text.
+                if not (name == "id" and tag in HEADINGS):
+                    unwanted |= tag != "main" and _is_unwanted(name, value)
                 for word in _WORD.findall(value):
-                    if word in UNWANTED_WORDS or word.startswith(UNWANTED):
-                        unwanted |= tag != "main"
                     header |= word in ("header", "banner") and tag not in MAIN
                     main |= name == "role" and word in WANTED_WORDS
     return unwanted, header, main
