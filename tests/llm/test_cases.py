@@ -269,6 +269,24 @@ def test_license_scan_finds_whole_and_edited_notices(spark):
         license_scan.license_matches(docs(spark, rows), texts={"short": "two words"})
 
 
+def test_license_scan_tells_versions_apart():
+    texts, telling = license_scan.LICENSE_TEXTS, license_scan.LICENSE_TELLING
+    templates = license_scan.Templates(texts, telling)
+
+    def found(text):
+        return {templates.names[m[1]] for m in license_scan.scan([f"{prose(5, 40)} {text} {prose(6, 40)}".encode()], templates)}
+
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "EPL-2.0", "BSL-1.0", "Zlib", "CC-BY-4.0", "CC-BY-SA-4.0"):
+        assert found(texts[name]) == {name}
+    gpl = texts["GPL-3.0"]
+    assert found(gpl.replace("version 3", "version 2")) == {"GPL-2.0"}
+    assert found(gpl.replace("GNU\nGeneral", "GNU Affero General").replace("GNU General", "GNU Affero General")) == {"AGPL-3.0"}
+    assert found("This work is licensed under the GNU General Public License, version 2.") == {"GPL-2.0 line"}
+    assert found(texts["GPL-3.0 line"]) == {"GPL-3.0 line"}
+    for name in (n for n in texts if n.endswith(" text")):
+        assert {n for n in found(texts[name]) if n.endswith(" text")} == {name}
+
+
 # --- 5 ----------------------------------------------------------------------
 
 def shingle_set(text):

@@ -10,8 +10,9 @@ probability 1 - (1 - SIMILARITY^ROWS)^BANDS, over 0.99. The smallest windows hav
 shingle and meet exactly.
 
 Each text and template that meet are verified on all shingles of the text: at
-least ``containment`` of the template's distinct shingles must occur. There is one
-row for each.
+least ``containment`` of the template's distinct shingles must occur, and one at least
+of each of its telling passages (name and version, where licences of a family hardly
+differ otherwise). There is one row for each.
 
 Edge cases: null and empty texts and texts below five words match nothing; a
 template needs five words or more (else an error) and no templates give no rows; a
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from trolley.llm.license_texts import LICENSE_TEXTS
+from trolley.llm.license_texts import LICENSE_TELLING, LICENSE_TEXTS
 from trolley.llm.textscan import column_bytes, groups, mix, runs, word_hashes
 
 SHINGLE = 5
@@ -62,8 +63,11 @@ def _bands(minima, scale):
 class Templates:
     """Shingle sets of the templates and the band keys that retrieve them."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, telling=None):
         self.names = list(texts)
+        self.telling = [
+            [_shingles([passage.encode()])[2] for passage in (telling or {}).get(name, ())] for name in self.names
+        ]
         self.sets, keys, owners = [], [], []
         for n, text in enumerate(texts.values()):
             shingles = _shingles([text.encode()])[2]
@@ -136,19 +140,20 @@ def scan(texts, templates, containment=0.8):
         wanted = templates.sets[template]
         hit = np.isin(shingles[span], wanted)
         shared = len(np.unique(shingles[span][hit]))
-        if shared >= containment * len(wanted):
+        if shared >= containment * len(wanted) and all(np.isin(t, shingles[span]).any() for t in templates.telling[template]):
             at = words[span][hit]
             matches.append((text, template, shared, int(at.min()), int(at.max()) + SHINGLE - 1))
     return matches
 
 
-def license_matches(docs, texts=None, containment=0.8):
+def license_matches(docs, texts=None, containment=0.8, telling=None):
     """doc_id, license, n_shared, n_template, first_word and last_word of every match."""
-    texts = LICENSE_TEXTS if texts is None else texts
-    Templates(texts)  # faulty templates fail here, not in a task
+    if texts is None:
+        texts, telling = LICENSE_TEXTS, LICENSE_TELLING
+    Templates(texts, telling)  # faulty templates fail here, not in a task
 
     def run(batches):
-        templates = Templates(texts)
+        templates = Templates(texts, telling)
         for batch in batches:
             plain, ids = column_bytes(batch, "text"), batch.column(0).to_pylist()
             rows = []
