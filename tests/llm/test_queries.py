@@ -31,7 +31,7 @@ def test_equals_sql(spark, duck, name):
 def test_names():
     assert set(ORACLES) <= set(QUERIES)
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 def documents(spark):

@@ -152,3 +152,76 @@ WITH RECURSIVE vectors AS (
 ), counts AS (SELECT a, count(*) AS n FROM edges GROUP BY 1)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
 FROM embeddings JOIN labels ON vec_id = node LEFT JOIN counts ON vec_id = a"""
+
+
+# Shares by plain division, every pair of sources over every kept term.
+ORACLES["op11_source_divergence"] = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents
+), hits AS (
+  SELECT lang, source, doc_id, term, count(*) AS n FROM (SELECT *, unnest(ts) AS term FROM docs) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n) AS total FROM hits GROUP BY 1, 2 HAVING count(*) >= 30
+), known AS (SELECT DISTINCT lang, source FROM docs
+), cells AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n
+  FROM known g JOIN kept k USING (lang)
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM hits GROUP BY ALL) c USING (lang, source, term)
+), sized AS (
+  SELECT *, sum(n) OVER own AS own_total, sum(n) OVER whole AS all_total,
+    count(*) OVER own AS v FROM cells
+  WINDOW own AS (PARTITION BY lang, source), whole AS (PARTITION BY lang)
+), shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (own_total + 5 * v) AS p,
+    1 + (1000000000 * (total + 5)) // (all_total + 5 * v) AS q FROM sized
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source GROUP BY ALL
+), ranked AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM known a JOIN known b ON a.lang = b.lang AND a.source != b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM ranked)
+WHERE part = 'pair' OR rank <= 50"""
+
+
+# Runs as stretches of equal words at equal distance. The crc32 of the id is
+# worked out bit by bit: each digit is one step that mixes it in and eight that shift.
+ORACLES["op12_word_runs"] = rf"""
+WITH marked AS (
+  SELECT doc_id, {WORDS} AS ws, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+      string_split(doc_id::VARCHAR, ''), lambda d: [ascii(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, op: CASE WHEN op >= 0 THEN xor(c, op) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END
+  )) AS h FROM documents
+), shaped AS (
+  SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS made, (h // 10) AS g,
+    CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM marked
+), docs AS (
+  SELECT doc_id, n, CASE WHEN made THEN list_transform(range(0, n), lambda i: ws[1 + CASE WHEN i >= a
+    THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END]) ELSE ws END AS ws FROM shaped
+), words AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM docs
+), equal AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.w = b.w AND a.i < b.i
+), islands AS (
+  SELECT doc_id, q, min(i) AS s, count(*) AS m FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal) GROUP BY doc_id, q, island
+), runs AS (
+  SELECT doc_id, s, m + q AS length, min(q) AS q FROM islands WHERE m + q >= greatest(12, 2 * q) GROUP BY doc_id, s, m + q
+), told AS (
+  SELECT doc_id, count(*) AS n_runs, arg_max({{'s': s, 'l': length, 'q': q}}, {{'l': length, 's': -s, 'q': -q}}) AS best,
+    string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY 1
+), dropped AS (
+  SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM runs
+), kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY 1
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period,
+  (1000 * best.l) // best.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)"""

@@ -3,7 +3,10 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trolley.llm import embeddings, html_text, license_scan, mixing, near_duplicates, pieces, pii, quality, token_files, toxicity
+from trolley.llm import (
+    embeddings, html_text, license_scan, mixing, near_duplicates, pieces, pii, quality, sharding, source_audit,
+    token_files, toxicity, word_runs,
+)
 from trolley.llm.common import table
 
 
@@ -64,6 +67,34 @@ def op9_html_text(spark, folder):
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def op11_source_divergence(spark, folder):
+    return source_audit.source_divergence(table(spark, folder, "documents"), least_docs=30, first=50)
+
+
+def op12_word_runs(spark, folder):
+    found = word_runs.word_runs(word_runs.planted(table(spark, folder, "documents")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.when(F.size("runs") > 0, F.concat(F.array_join(line, "\n"), F.lit("\n"))).otherwise("")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    best = found.select("doc_id", "runs", "collapsed", lines.alias("lines"), longest.alias("best"))
+    length, start, period = F.col("best.length"), -F.col("best.col2"), -F.col("best.col3")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(length * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_shards(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    return sharding.shard_documents(docs, n_shards=16).select(
+        "doc_id", sharding.text_bytes(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
 
@@ -80,4 +111,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op6_mix_sources": op6_mix_sources,
     "op10_quality_rules": op10_quality_rules,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_word_runs": op12_word_runs,
+    "op13_shards": op13_shards,
 }
