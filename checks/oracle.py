@@ -482,4 +482,16 @@ _BODIES = {
           FROM pc GROUP BY product_name) WHERE position < 5""",
 }
 
+# What is merged batch by batch, or read by bucket, equals what is made at once.
+_BODIES.update({
+    f"refreshed_{name}": _BODIES[name]
+    for name in (
+        "user_product_features", "user_features", "hour_reorder_rate", "day_reorder_rate",
+        "p_days_since_prior_order_reorder_rate", "u_days_since_prior_order_reorder_rate",
+        "days_since_prior_reorder_rate",
+    )
+})
+_BODIES["served_context_features"] = _BODIES["context_features"]
+_BODIES["boosted_trees_rounds"] = TRAINING + "SELECT count(*) AS n_rows, true AS stopped_as_told FROM training"
+
 ORACLES = {name: f"{BASE}{body}" for name, body in _BODIES.items()}

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from trolley.functions.columns import title_case, week_day
 from trolley.functions.histogram import histogram
 from trolley.operators import (
-    enrich, explore, models, pair, product, rates, recommend, reports, training, user,
+    boosting, enrich, explore, models, network, pair, product, rates, recommend, reports, training, user,
 )
+from trolley.plans import refresh
 from trolley.plans.baskets import open_baskets
 from trolley.schema import MODEL_FEATURES, PRODUCTS
 from trolley.sources import tables
@@ -37,6 +38,7 @@ SEGMENTS = [
     ("Regular Customers", {"orders": 5}),
 ]
 AISLE = "ring"
+REFRESH_DATE = "1997-06-01"
 
 
 def _round(df, *columns, digits=6):
@@ -106,6 +108,28 @@ def publish_serving_tables(b):
     )
 
 
+# --- daily refresh ----------------------------------------------------------
+
+def refreshed_folder(b):
+    """A feature folder fed with three batches that make up the prior lines.
+
+    The base has the orders before a date, the second batch those from then on, and
+    the third the evening orders of all dates, which arrive late.
+    """
+    if "refreshed" not in b.fitted:
+        dated = b.prior.join(b.order_dates, "order_id")
+        late, early = F.col("order_hour_of_day") >= 18, F.col("order_date") < F.lit(REFRESH_DATE)
+        folder = _new_folder(b, "refreshed")
+        for batch, chosen in (("base", early & ~late), ("day", ~early & ~late), ("late", late)):
+            refresh.refresh(b.spark, folder, dated.filter(chosen), batch, n_buckets=8)
+        b.fitted["refreshed"] = folder
+    return b.fitted["refreshed"]
+
+
+def _refreshed(name):
+    return lambda b: refresh.refreshed(b.spark, refreshed_folder(b), name)
+
+
 # --- scalar functions ------------------------------------------------------
 
 def product_labels(b):
@@ -139,6 +163,15 @@ def _contexts(b):
     )
 
 
+def _serving_folder(b):
+    """Serving tables laid out by user bucket, written once per application."""
+    if "serving" not in b.fitted:
+        folder = _new_folder(b, "bucketed_serving")
+        recommend.publish_serving(b.spark, serving_tables(b), folder, n_buckets=8)
+        b.fitted["serving"] = folder
+    return b.fitted["serving"]
+
+
 def _final(b):
     return training.final_features(
         b.pairs, user.user_features(b.prior), product.product_features(b.prior, b.products_merged, FLAGS)
@@ -197,6 +230,34 @@ def boosted_trees_early_stop(b):
     return models.score(model, validation).select("user_id", "product_id", "reordered", "p")
 
 
+def boosted_trees_rounds(b):
+    """Whether trees with a share of the features each stopped where they should, and what they saw."""
+    train, validation = _parts(b)
+    model = boosting.fit_free_trees(train, validation, rounds=8, depth=4, step=0.3, patience=2, n_bins=32)
+    losses = [held for _, held in model.history]
+    best = losses.index(min(losses))
+    stopped = len(losses) - 1 == min(best + 2, 8) and len(model.trees) == best and best > 0
+    return b.training_set.agg(F.count("*").alias("n_rows")).withColumn("stopped_as_told", F.lit(stopped))
+
+
+def free_trees(b):
+    return _held_out_scores(
+        b, lambda train: boosting.fit_free_trees(train, rounds=6, depth=5, step=0.3, n_bins=32)
+    )
+
+
+def oblivious_trees(b):
+    return _held_out_scores(
+        b, lambda train: boosting.fit_oblivious_trees(train, rounds=8, depth=4, step=0.3, n_bins=32)
+    )
+
+
+def minibatch_network(b):
+    train, validation = _parts(b)
+    model = network.fit_network(train, validation, hidden=(32, 16), epochs=3, steps=8, rate=0.01)
+    return models.score(model, validation).select("user_id", "product_id", "reordered", "p")
+
+
 def _served_model(b):
     """The boosted trees, fitted once per application."""
     if "served" not in b.fitted:
@@ -325,6 +386,8 @@ BASKET_QUERIES = {
     "processed_table": processed_table,
     "read_prefix": read_prefix,
     "publish_serving_tables": publish_serving_tables,
+    # daily refresh
+    **{f"refreshed_{name}": _refreshed(name) for name in refresh.FEATURE_KEYS},
     # scalar functions
     "product_labels": product_labels,
     "order_clock": order_clock,
@@ -393,6 +456,10 @@ BASKET_QUERIES = {
     "perceptron": perceptron,
     "boosted_trees_early_stop": boosted_trees_early_stop,
     "boosted_trees": boosted_trees,
+    "boosted_trees_rounds": boosted_trees_rounds,
+    "free_trees": free_trees,
+    "oblivious_trees": oblivious_trees,
+    "minibatch_network": minibatch_network,
     "log_loss": lambda b: _round(models.log_loss(_fixed_scores(b)), "log_loss"),
     "accuracy": lambda b: models.accuracy(_fixed_scores(b)),
     "feature_importance": feature_importance,
@@ -406,6 +473,9 @@ BASKET_QUERIES = {
     "product_map": lambda b: recommend.product_map(b.products),
     "user_product_snapshot": lambda b: recommend.user_product_snapshot(b.pairs),
     "context_features": _contexts,
+    "served_context_features": lambda b: recommend.served_features(
+        b.spark, _serving_folder(b), _customers(b), AS_OF
+    ),
     "recommendations": recommendations,
     "recommendation_counts": recommendation_counts,
     "known_users": known_users,

@@ -17,7 +17,7 @@ LAZY = sorted(set(BASKET_QUERIES) - {
     "logistic_regression", "decision_tree_search", "calibrated_forest", "perceptron",
     "boosted_trees_early_stop", "boosted_trees", "feature_importance", "model_comparison",
     "saved_model_scores", "saved_model_agreement", "recommendations", "recommendation_counts", "load_tables", "processed_table", "read_prefix",
-    "publish_serving_tables",
+    "publish_serving_tables", "boosted_trees_rounds", "free_trees", "oblivious_trees", "minibatch_network",
 })
 
 

@@ -25,6 +25,8 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from trolley.operators.boosting import BoostedTrees
+from trolley.operators.network import Network
 from trolley.schema import LABEL, MODEL_FEATURES
 from trolley.session import ensure_checkpoints
 from trolley.sources.tables import path_exists
@@ -222,7 +224,8 @@ def fit_boosted_trees(
 
 def score(model, df):
     """Rows with ``p``, the model's probability of a reorder."""
-    return model.transform(filled(df)).select(*df.columns, vector_to_array("probability")[1].alias("p"))
+    ready = filled(df, getattr(model, "columns", MODEL_FEATURES))
+    return model.transform(ready).select(*df.columns, vector_to_array("probability")[1].alias("p"))
 
 
 def _mean_loss(probability, label):
@@ -252,7 +255,7 @@ def evaluate(model, df):
 
 def feature_importance(spark, model, columns=MODEL_FEATURES):
     """Importance per feature, highest first (tree models only)."""
-    if isinstance(model, CalibratedForest):
+    if isinstance(model, (CalibratedForest, BoostedTrees)):
         weights = model.feature_importances
     else:
         weights = model.stages[-1].featureImportances.toArray()
@@ -280,7 +283,7 @@ def model_comparison(spark, entries, train, validation):
 
 def save_model(model, path):
     """Write a fitted model, replacing what is there."""
-    if isinstance(model, CalibratedForest):
+    if isinstance(model, (CalibratedForest, BoostedTrees, Network)):
         model.save(path)
     else:
         model.write().overwrite().save(path)
@@ -288,6 +291,7 @@ def save_model(model, path):
 
 def load_model(spark, path):
     """Read a model written by ``save_model``."""
-    if path_exists(spark, f"{path}/sigmoids"):
-        return CalibratedForest.load(path)
+    for part, kind in (("sigmoids", CalibratedForest), ("boosting", BoostedTrees), ("network", Network)):
+        if path_exists(spark, f"{path}/{part}"):
+            return kind.load(path)
     return PipelineModel.load(path)

@@ -7,32 +7,20 @@ import argparse
 from datetime import datetime, timezone
 
 from trolley.operators.models import load_model
-from trolley.operators.rates import RATE_KEYS
-from trolley.operators.recommend import recommend, route, split_known
+from trolley.operators.recommend import route, serve, serving_table
 from trolley.session import build_session
 from trolley.sources.tables import read_table, write_table
 
 
 def run(spark, trained, users, as_of, k=10, max_gap=30):
-    """Recommendations for every user in ``users`` (user_id) at ``as_of``."""
-
-    def table(name):
-        return read_table(spark, f"{trained}/serving/{name}")
-
-    last_purchase = table("user_last_purchase")
-    known, _ = split_known(users, last_purchase)
-    personal = recommend(
-        known,
-        load_model(spark, f"{trained}/model"),
-        table("user_product_snapshot"),
-        {name: table(name) for name in RATE_KEYS},
-        last_purchase,
-        table("product_map"),
-        as_of,
-        k,
-        max_gap,
-    )
-    return route(users, last_purchase, personal, table("slot_products"), as_of)
+    """Recommendations for every user in ``users`` (user_id) at ``as_of``.
+
+    Of the tables with rows per user, only the buckets of these users are read.
+    """
+    folder = f"{trained}/serving"
+    personal = serve(spark, folder, users, load_model(spark, f"{trained}/model"), as_of, k, max_gap)
+    last_purchase = serving_table(spark, folder, "user_last_purchase", users)
+    return route(users, last_purchase, personal, serving_table(spark, folder, "slot_products"), as_of)
 
 
 def main(argv=None):
