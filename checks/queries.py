@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from trolley.functions.columns import title_case, week_day
 from trolley.functions.histogram import histogram
 from trolley.operators import (
-    boosting, enrich, explore, models, network, pair, product, rates, recommend, reports, training, user,
+    boosting, enrich, explore, models, pair, product, rates, recommend, reports, training, user,
 )
 from trolley.plans import refresh
 from trolley.plans.baskets import open_baskets
 from trolley.schema import MODEL_FEATURES, PRODUCTS
-from trolley.sources import tables
+from trolley.sources import checked, tables
+from trolley.sources.releases import Release
 
 # Fixed values for the derived baskets.
 AS_OF = "2001-08-02 14:00:00"
@@ -108,6 +109,21 @@ def publish_serving_tables(b):
     )
 
 
+def released_table_rows(b):
+    """Rows per table of the newest release, as counted while it was written."""
+    return b.spark.createDataFrame(list(_release(b).rows().items()), "table_name string, n_rows long")
+
+
+def checked_tables(b):
+    """Counts of raw CSV tables that hold bad rows too: bare product names between their lines."""
+    folder = _new_folder(b, "mixed_csv")
+    for name, (stem, _) in tables.RAW_TABLES.items():
+        tables.write_table(b.raw_tables[name], f"{folder}/{stem}.csv", "csv")
+        stray = b.products.select(F.col("product_name").alias(b.raw_tables[name].columns[0]))
+        stray.write.mode("append").csv(f"{folder}/{stem}.csv", header=True)
+    return checked.check_report(b.spark, checked.check_tables(b.spark, folder, _new_folder(b, "checked")))
+
+
 # --- daily refresh ----------------------------------------------------------
 
 def refreshed_folder(b):
@@ -163,12 +179,12 @@ def _contexts(b):
     )
 
 
-def _serving_folder(b):
-    """Serving tables laid out by user bucket, written once per application."""
+def _release(b):
+    """The release of the serving tables, laid out by user bucket, committed once per application."""
     if "serving" not in b.fitted:
-        folder = _new_folder(b, "bucketed_serving")
+        folder = _new_folder(b, "serving")
         recommend.publish_serving(b.spark, serving_tables(b), folder, n_buckets=8)
-        b.fitted["serving"] = folder
+        b.fitted["serving"] = Release(b.spark, folder)
     return b.fitted["serving"]
 
 
@@ -240,22 +256,40 @@ def boosted_trees_rounds(b):
     return b.training_set.agg(F.count("*").alias("n_rows")).withColumn("stopped_as_told", F.lit(stopped))
 
 
-def free_trees(b):
-    return _held_out_scores(
-        b, lambda train: boosting.fit_free_trees(train, rounds=6, depth=5, step=0.3, n_bins=32)
-    )
+def _families(b):
+    """name -> (parameters, model) of all six families, fitted once per application."""
+    if "families" not in b.fitted:
+        entries = models.fit_families(*_parts(b), models.QUICK)
+        b.fitted["families"] = {name: (parameters, model) for name, parameters, model in entries}
+    return b.fitted["families"]
 
 
-def oblivious_trees(b):
-    return _held_out_scores(
-        b, lambda train: boosting.fit_oblivious_trees(train, rounds=8, depth=4, step=0.3, n_bins=32)
-    )
+def _family_scores(name):
+    def query(b):
+        scored = models.score(_families(b)[name][1], _parts(b)[1])
+        return scored.select("user_id", "product_id", "reordered", "p")
 
+    return query
+
+
+def model_families(b):
+    entries = [(name, parameters, model) for name, (parameters, model) in _families(b).items()]
+    return models.model_comparison(b.spark, entries, *_parts(b))
+
+
+def permutation_importance(b):
+    """Of the network, which has no importances of its own."""
+    return models.permutation_importance(_families(b)["network"][1], _parts(b)[1], repeats=2)
 
-def minibatch_network(b):
-    train, validation = _parts(b)
-    model = network.fit_network(train, validation, hidden=(32, 16), epochs=3, steps=8, rate=0.01)
-    return models.score(model, validation).select("user_id", "product_id", "reordered", "p")
+
+def factors_per_pattern(b):
+    """Products and different factor vectors of each flag pattern."""
+    flagged = product.category_flags(b.products_merged, FLAGS)
+    reduced = product.reduced_features(b.products_merged, FLAGS)
+    vector = F.struct(*[c for c in reduced.columns if c != "product_id"])
+    return flagged.join(reduced, "product_id").groupBy(*FLAGS).agg(
+        F.count("*").alias("n_products"), F.countDistinct(vector).alias("n_vectors")
+    )
 
 
 def _served_model(b):
@@ -386,6 +420,8 @@ BASKET_QUERIES = {
     "processed_table": processed_table,
     "read_prefix": read_prefix,
     "publish_serving_tables": publish_serving_tables,
+    "released_table_rows": released_table_rows,
+    "checked_tables": checked_tables,
     # daily refresh
     **{f"refreshed_{name}": _refreshed(name) for name in refresh.FEATURE_KEYS},
     # scalar functions
@@ -410,6 +446,7 @@ BASKET_QUERIES = {
     "category_flags": lambda b: product.category_flags(b.products_merged, FLAGS),
     "reduced_features": lambda b: product.reduced_features(b.products_merged, FLAGS),
     "reduced_feature_norms": reduced_feature_norms,
+    "factors_per_pattern": factors_per_pattern,
     "aisle_reorder_rate": lambda b: product.aisle_reorder_rate(b.prior),
     "department_reorder_rate": lambda b: product.department_reorder_rate(b.prior),
     "product_statistics": lambda b: product.product_statistics(b.prior, b.products_merged),
@@ -447,6 +484,10 @@ BASKET_QUERIES = {
     "split_rows": lambda b: training.with_split(b.training_set).select(
         "user_id", "product_id", "split"
     ),
+    "exact_split_rows": lambda b: training.with_exact_split(b.training_set).select(
+        "user_id", "product_id", "split"
+    ),
+    "exact_split_report": lambda b: training.split_report(training.with_exact_split(b.training_set)),
     "scaled_validation": scaled_validation,
     "split_report": lambda b: training.split_report(training.with_split(b.training_set)),
     # models
@@ -457,9 +498,11 @@ BASKET_QUERIES = {
     "boosted_trees_early_stop": boosted_trees_early_stop,
     "boosted_trees": boosted_trees,
     "boosted_trees_rounds": boosted_trees_rounds,
-    "free_trees": free_trees,
-    "oblivious_trees": oblivious_trees,
-    "minibatch_network": minibatch_network,
+    "free_trees": _family_scores("free_trees"),
+    "oblivious_trees": _family_scores("oblivious_trees"),
+    "minibatch_network": _family_scores("network"),
+    "model_families": model_families,
+    "permutation_importance": permutation_importance,
     "log_loss": lambda b: _round(models.log_loss(_fixed_scores(b)), "log_loss"),
     "accuracy": lambda b: models.accuracy(_fixed_scores(b)),
     "feature_importance": feature_importance,
@@ -474,7 +517,7 @@ BASKET_QUERIES = {
     "user_product_snapshot": lambda b: recommend.user_product_snapshot(b.pairs),
     "context_features": _contexts,
     "served_context_features": lambda b: recommend.served_features(
-        b.spark, _serving_folder(b), _customers(b), AS_OF
+        _release(b), _customers(b), AS_OF
     ),
     "recommendations": recommendations,
     "recommendation_counts": recommendation_counts,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import rows_of
 from trolley.operators import models, product, training
-from trolley.operators.factors import factorise, pattern_factors
+from trolley.operators.factors import factorise, pattern_factors, row_factors
 from trolley.schema import LABEL, MODEL_FEATURES
 
 FLAGS = {
@@ -17,17 +17,23 @@ FLAGS = {
 }
 
 
-def test_factorisation_error_never_rises():
+def test_factorisation_error_never_rises(spark):
     rng = np.random.default_rng(1)
-    x = rng.integers(0, 2, (20, 6))
-    weights = rng.integers(1, 9, 20)
+    x = np.unique(rng.integers(0, 2, (30, 6)), axis=0)
+    patterns = spark.createDataFrame([("".join(map(str, r)), int(n)) for r, n in zip(x, rng.integers(1, 9, len(x)))], "pattern string, n long")
+    columns, errors = factorise(patterns, 6, 3, 42, rounds=6)
+    assert len(errors) == 6 and all(b <= a + 0.05 for a, b in zip(errors, errors[1:])) and errors[-1] < errors[0]
+    again, same = factorise(patterns.repartition(5), 6, 3, 42, rounds=6)
+    assert (again == columns).all() and same == errors
 
-    def error(iterations):
-        rows, columns = factorise(x, weights, 3, 42, iterations)
-        return float((weights[:, None] * (x - rows @ columns) ** 2).sum())
 
-    errors = [error(n) for n in (1, 2, 5, 20, 100)]
-    assert all(b <= a + 1e-9 for a, b in zip(errors, errors[1:]))
+def test_row_factors_are_the_best_ones():
+    rng = np.random.default_rng(2)
+    columns, x = rng.uniform(0, 1, (3, 7)), rng.integers(0, 2, (20, 7)).astype(float)
+    rows = row_factors(x, columns)
+    inner, target = columns @ columns.T, x @ columns.T
+    slope = rows @ inner - target  # no descent is left: 0 where positive, not below 0 elsewhere
+    assert (rows >= 0).all() and np.abs(slope[rows > 0]).max() < 1e-8 and slope[rows == 0].min() > -1e-8
 
 
 def test_reduced_features(baskets):
@@ -46,11 +52,18 @@ def test_reduced_features(baskets):
     assert rows_of(again) == rows_of(reduced)
 
 
-def test_too_many_flags_are_refused(spark):
-    names = [f"f{i}" for i in range(13)]
-    df = spark.createDataFrame([(1, *[0] * 13)], ["product_id", *names])
-    with pytest.raises(ValueError, match="at most 12"):
-        pattern_factors(df, names)
+def test_any_number_of_flags(spark):
+    names = [f"f{i}" for i in range(40)]
+    rng = np.random.default_rng(4)
+    flags = rng.integers(0, 2, (60, 40))
+    flags[:3] = 0
+    flags[10:20] = flags[10]
+    rows = [(i, *map(int, f)) for i, f in enumerate(flags)] + [(60, *[None] * 40)]
+    df = spark.createDataFrame(rows, "product_id long, " + ", ".join(f"{n} int" for n in names))
+    found = {r[0]: r[1:] for r in pattern_factors(df, names, k=4, rounds=3).collect()}
+    norms = {i: round(math.hypot(*v), 9) for i, v in found.items()}
+    assert len(found) == 61 and len({found[i] for i in range(10, 20)}) == 1
+    assert {norms[i] for i in (0, 1, 2, 60)} == {0.0} and {norms[i] for i in range(3, 60)} == {1.0}
 
 
 @pytest.fixture(scope="module")
@@ -171,3 +184,31 @@ def test_model_comparison(spark, parts, boosted):
     ).collect()
     losses = [r["log_loss_val"] for r in table]
     assert {r["model"] for r in table} == {"boosted", "logistic"} and losses == sorted(losses)
+
+
+def test_permutation_importance_finds_the_planted_features(parts):
+    train, held_out = parts
+    model = models.fit_logistic_regression(train, max_iter=20)
+    got = models.permutation_importance(model, held_out, repeats=3, block_rows=100).collect()
+    by_name = {r["feature"]: r for r in got}
+    assert [r["feature"] for r in got[:2]] == ["u_p_order_rate", "hour_reorder_rate"] and len(got) == 13
+    assert all(abs(r["importance"]) < 0.02 for n, r in by_name.items() if n not in ("u_p_order_rate", "hour_reorder_rate"))
+    assert got[0]["importance"] > 5 * got[0]["spread"] > 0
+    again = models.permutation_importance(model, held_out.repartition(3), repeats=3, block_rows=100).collect()
+    assert [(r["feature"], round(r["importance"], 9)) for r in again] == [(r["feature"], round(r["importance"], 9)) for r in got]
+
+
+def test_exact_split_takes_the_share_of_every_label(spark):
+    rows = [(i, i % 7, float(i % 5 == 0)) for i in range(1003)] + [(5000, 1, None), (5001, 1, None), (5002, 1, 2.0)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, reordered double")
+    marked = training.with_exact_split(df, share=0.2, seed=3)
+    counts = {r[0]: (r[1], r[2]) for r in rows_of(marked.groupBy("reordered").agg(
+        F.count("*").alias("n"), F.count_if(F.col("split") == "val").alias("v")), "reordered", "n", "v")}
+    assert counts == {1.0: (201, 40), 0.0: (802, 160), 2.0: (1, 0), None: (2, 0)}
+    assert rows_of(marked) == rows_of(training.with_exact_split(df.repartition(5), share=0.2, seed=3))
+    for share, n in ((0.0, 0), (1.0, 1006)):
+        assert training.with_exact_split(df, share, 3).filter("split = 'val'").count() == n
+    assert training.with_exact_split(df.limit(0), 0.2, 3).count() == 0
+    # Rows of one key stay together, at most the last key of a label is too much.
+    twice = training.with_exact_split(df.unionByName(df), share=0.2, seed=3)
+    assert twice.groupBy("user_id", "product_id").agg(F.countDistinct("split").alias("n")).filter("n > 1").count() == 0

@@ -9,7 +9,8 @@ from tests.conftest import SMALL
 
 MODEL_QUERIES = {
     "logistic_regression", "decision_tree_search", "calibrated_forest", "perceptron",
-    "boosted_trees_early_stop", "boosted_trees", "free_trees", "oblivious_trees", "minibatch_network", "feature_importance", "model_comparison",
+    "boosted_trees_early_stop", "boosted_trees", "free_trees", "oblivious_trees", "minibatch_network", "model_families",
+    "permutation_importance", "feature_importance", "model_comparison",
     "saved_model_scores", "recommendations",
 }
 FACTOR_QUERIES = {"reduced_features", "product_features", "final_features_with_factors"}

@@ -12,12 +12,14 @@ from trolley.operators.rates import RATE_KEYS
 from trolley.plans import features, report, serve, train
 from trolley.schema import PAIR_FEATURES, PRODUCT_FEATURES, USER_FEATURES
 from trolley.sources import tables
+from trolley.sources.releases import Release
 
 LAZY = sorted(set(BASKET_QUERIES) - {
     "logistic_regression", "decision_tree_search", "calibrated_forest", "perceptron",
     "boosted_trees_early_stop", "boosted_trees", "feature_importance", "model_comparison",
     "saved_model_scores", "saved_model_agreement", "recommendations", "recommendation_counts", "load_tables", "processed_table", "read_prefix",
     "publish_serving_tables", "boosted_trees_rounds", "free_trees", "oblivious_trees", "minibatch_network",
+    "model_families", "permutation_importance", "checked_tables", "released_table_rows",
 })
 
 
@@ -43,15 +45,19 @@ def test_jobs_from_raw_files_to_recommendations(spark, baskets, tmp_path):
     assert rows_of(got) == rows_of(BASKET_QUERIES["customer_stats"](baskets))
 
     scores = train.run(
-        spark, processed, trained, rounds=5, max_depth=3, step=0.2, order_dates=baskets.order_dates
-    ).first()
-    assert 0 < scores["log_loss_val"] < 1
+        spark, processed, trained, rounds=5, max_depth=3, step=0.2, order_dates=baskets.order_dates, n_buckets=4,
+        families={"oblivious_trees": {"rounds": 2, "depth": 2, "step": 0.3}},
+    ).collect()
+    assert {r["model"] for r in scores} == {"boosted_trees", "oblivious_trees"} and all(0 < r["log_loss_val"] < 1 for r in scores)
+    assert tables.read_table(spark, f"{trained}/permutation_importance/oblivious_trees").count() == 13
     assert rows_of(tables.read_table(spark, f"{trained}/training_set")) == rows_of(baskets.training_set)
 
     users = baskets.orders.select("user_id").distinct()
-    snapshot = tables.read_table(spark, f"{trained}/serving/user_product_snapshot")
-    rate_tables = {n: tables.read_table(spark, f"{trained}/serving/{n}") for n in RATE_KEYS}
-    purchases = tables.read_table(spark, f"{trained}/serving/user_last_purchase")
+    release = Release(spark, f"{trained}/serving")
+    assert release.rows()["user_product_snapshot"] == baskets.pairs.count()
+    snapshot = recommend.serving_table(release, "user_product_snapshot")
+    rate_tables = {n: recommend.serving_table(release, n) for n in RATE_KEYS}
+    purchases = recommend.serving_table(release, "user_last_purchase")
     scored = recommend.context_features(snapshot, rate_tables, purchases, "1998-08-20 14:00:00")
     assert scored.count() and not scored.filter(~F.col("days_since_prior_order").between(0, 30)).count()
     got = serve.run(spark, trained, users, "2001-08-02 14:00:00", k=5)

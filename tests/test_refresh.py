@@ -11,6 +11,7 @@ from checks.queries import BASKET_QUERIES
 from tests.helpers import combined, rows_of
 from trolley.operators import pair, rates, recommend, state, user
 from trolley.plans import refresh
+from trolley.sources.releases import Release
 from trolley.sources.buckets import bucket_of, read_buckets, write_buckets
 
 
@@ -143,29 +144,30 @@ def served(spark, baskets, tmp_path_factory):
 
     folder = str(tmp_path_factory.mktemp("serving"))
     recommend.publish_serving(spark, serving_tables(baskets), folder, n_buckets=6)
-    return folder
+    return Release(spark, folder)
 
 
 def test_one_user_reads_one_bucket(spark, baskets, served):
     user_id = baskets.train.agg(F.min("user_id")).first()[0]
     one = spark.createDataFrame([(user_id,)], "user_id long")
     for name in recommend.USER_TABLES:
-        df = recommend.serving_table(spark, served, name, one)
+        df = recommend.serving_table(served, name, one)
         found = scans(df)
-        buckets = len([d for d in os.listdir(f"{served}/{name}") if d.startswith("bucket=")])
+        path = served.tables[name]["path"]
+        buckets = len([d for d in os.listdir(path) if d.startswith("bucket=")])
         assert buckets > 2
         bucket = spark.range(1).select(bucket_of(F.lit(user_id), 6)).first()[0]
-        own = [n for n in os.listdir(f"{served}/{name}/bucket={bucket}") if n.endswith(".parquet")]
+        own = [n for n in os.listdir(f"{path}/bucket={bucket}") if n.endswith(".parquet")]
         read, filters, _ = next(x for x in found if name in x[2])
         assert read == len(own) and "bucket" in filters
-        want = recommend.serving_table(spark, served, name).filter(bucket_of("user_id", 6) == bucket)
+        want = recommend.serving_table(served, name).filter(bucket_of("user_id", 6) == bucket)
         assert rows_of(df) == rows_of(want)
 
 
 def test_served_features_equal_those_of_whole_tables(spark, baskets, served):
     want = BASKET_QUERIES["context_features"](baskets)
     users = want.select("user_id").distinct().orderBy("user_id").limit(7).unionByName(spark.createDataFrame([(-1,)], "user_id long"))
-    got = recommend.served_features(spark, served, users, "2001-08-02 14:00:00")
+    got = recommend.served_features(served, users, "2001-08-02 14:00:00")
     assert rows_of(got) == rows_of(want.join(users, "user_id", "left_semi"))
     assert got.count() > 0
 

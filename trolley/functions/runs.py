@@ -74,6 +74,15 @@ def history(order):
     return F.collect_list(F.struct(*order, "zeros", "ones"))
 
 
+def by_piece(df, keys, piece):
+    """Rows with the number of their piece, dealt by key and piece.
+
+    One exchange then serves the aggregate per order and the one per piece, and a
+    key that holds many rows still goes to as many tasks as it has pieces.
+    """
+    return df.withColumn("piece", piece).repartition(*keys, "piece")
+
+
 def longest_run(df, keys, order, flag, piece):
     """Per key, the longest run of ``flag = 1`` in ``order``.
 
@@ -81,8 +90,9 @@ def longest_run(df, keys, order, flag, piece):
     not decrease along ``order``. Rows that agree in key and order are counted
     first, so a piece is as short as it has different places in the order.
     """
-    counted = df.groupBy(*keys, *order).agg(*counts(flag))
-    pieces = counted.groupBy(*keys, piece.alias("piece")).agg(summarise(history(order)).alias("run"))
+    placed = by_piece(df, keys, piece)
+    counted = placed.groupBy(*keys, "piece", *order).agg(*counts(flag))
+    pieces = counted.groupBy(*keys, "piece").agg(summarise(history(order)).alias("run"))
     return pieces.groupBy(*keys).agg(
         merge(F.collect_list(F.struct("piece", "run")))["best"].alias("longest_run")
     )

@@ -7,6 +7,7 @@ models this package stands in for; pass smaller ones for quick runs.
 
 import itertools
 import json
+import math
 import random
 from functools import reduce
 
@@ -23,10 +24,11 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trolley.operators.boosting import BoostedTrees
-from trolley.operators.network import Network
+from trolley.operators.boosting import BoostedTrees, fit_free_trees, fit_oblivious_trees
+from trolley.operators.network import Network, fit_network
 from trolley.schema import LABEL, MODEL_FEATURES
 from trolley.session import ensure_checkpoints
 from trolley.sources.tables import path_exists
@@ -265,6 +267,73 @@ def feature_importance(spark, model, columns=MODEL_FEATURES):
     )
 
 
+def permutation_importance(model, df, columns=None, repeats=3, block_rows=1000, seed=SEED):
+    """How much the log loss grows when a feature's values are exchanged between rows.
+
+    Works for every model. Rows are dealt to hashed blocks of about ``block_rows``
+    and take a feature from the next row of their block, in the order of a keyed
+    hash; the last takes it from the first. All features are scored in one pass over
+    copies of the rows, one a feature and repeat and one as it is. One row per
+    feature: mean growth over the repeats, and their standard deviation.
+    """
+    columns = list(getattr(model, "columns", MODEL_FEATURES) if columns is None else columns)
+    blocks = max(1, math.ceil(df.count() / block_rows))
+    rows, donors = filled(df, columns), []
+    for k in range(repeats):
+        key = F.xxhash64("user_id", "product_id", F.lit(seed * 1009 + k))
+        rows = rows.withColumns({f"_block{k}": F.pmod(F.xxhash64(key), F.lit(blocks)), f"_order{k}": key})
+        block = W.partitionBy(f"_block{k}")
+        order = block.orderBy(f"_order{k}", "user_id", "product_id")
+        values = F.struct(*columns)
+        first = F.first(values).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+        rows = rows.withColumn(f"_donor{k}", F.coalesce(F.lead(values).over(order), first))
+        donors.append((k, F.col(f"_donor{k}")))
+
+    def copy(feature, k, donor):
+        own = [donor[c].alias(c) if c == feature else F.col(c).alias(c) for c in columns]
+        return F.struct(F.lit(feature).alias("_feature"), F.lit(k).alias("_repeat"), *own)
+
+    copies = [copy(None, -1, None), *[copy(c, k, donor) for k, donor in donors for c in columns]]
+    wide = rows.select("user_id", "product_id", LABEL, F.explode(F.array(*copies)).alias("_copy"))
+    scored = score(model, wide.select("user_id", "product_id", LABEL, "_copy.*"))
+    losses = scored.groupBy("_feature", "_repeat").agg(_mean_loss("p", LABEL).alias("loss"))
+    # One row a feature and repeat.
+    plain = F.max(F.when(F.col("_repeat") < 0, F.col("loss"))).over(W.partitionBy())
+    growth = losses.select("_feature", "_repeat", (F.col("loss") - plain).alias("growth")).filter("_repeat >= 0")
+    return growth.groupBy(F.col("_feature").alias("feature")).agg(
+        F.avg("growth").alias("importance"), F.stddev_pop("growth").alias("spread")
+    ).orderBy(F.desc("importance"), "feature")
+
+
+# Small settings of all six families, for quick comparisons.
+QUICK = {
+    "logistic_regression": {"max_iter": 100},
+    "decision_tree": {"grid": {"maxDepth": [5], "minInstancesPerNode": [2, 5]}, "n_candidates": 2, "folds": 2},
+    "calibrated_forest": {"trees": 10, "max_depth": 5, "folds": 2},
+    "network": {"hidden": [32, 16], "epochs": 2, "steps": 8, "rate": 0.01},
+    "free_trees": {"rounds": 5, "depth": 4, "step": 0.3, "n_bins": 32},
+    "oblivious_trees": {"rounds": 8, "depth": 4, "step": 0.3, "n_bins": 32},
+}
+
+
+def fit_families(train, validation, settings=None):
+    """All six model families: (name, parameters, model) as ``model_comparison`` takes them.
+
+    ``settings`` has the parameters of the families wanted; by default each has its
+    own full-size ones. Networks and free trees stop by the held-out loss.
+    """
+    fits = {
+        "logistic_regression": lambda **p: fit_logistic_regression(train, **p),
+        "decision_tree": lambda **p: fit_decision_tree(train, **p)[0],
+        "calibrated_forest": lambda **p: fit_calibrated_forest(train, **p),
+        "network": lambda **p: fit_network(train, validation, **p),
+        "free_trees": lambda **p: fit_free_trees(train, validation, **p),
+        "oblivious_trees": lambda **p: fit_oblivious_trees(train, **p),
+    }
+    settings = {name: {} for name in fits} if settings is None else settings
+    return [(name, parameters, fits[name](**parameters)) for name, parameters in settings.items()]
+
+
 def model_comparison(spark, entries, train, validation):
     """One row per (name, parameters, model): its log loss and accuracies."""
     parts = []

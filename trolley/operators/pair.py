@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.columns import ratio
 from trolley.functions.joins import lookup_join
-from trolley.functions.runs import ORDERS_PER_PIECE, counts, history, longest_run, merge, summarise
+from trolley.functions.runs import ORDERS_PER_PIECE, by_piece, counts, history, longest_run, merge, summarise
 
 PAIR = ["user_id", "product_id"]
 HISTORY_ORDER = ["order_number", "order_id"]
@@ -69,7 +69,8 @@ def _piece(orders_per_piece):
 
 def pair_max_streak(prior, orders_per_piece=ORDERS_PER_PIECE):
     """Longest run of reorders over a pair's purchases in order."""
-    runs = longest_run(_pairs(prior), PAIR, HISTORY_ORDER, "reordered", _piece(orders_per_piece))
+    lines = _pairs(prior).select(*PAIR, *HISTORY_ORDER, "reordered")
+    runs = longest_run(lines, PAIR, HISTORY_ORDER, "reordered", _piece(orders_per_piece))
     return runs.select(*PAIR, F.col("longest_run").cast("int").alias("max_streak"))
 
 
@@ -80,13 +81,14 @@ def _pair_totals(prior, orders_per_piece):
     then the pieces are merged: a pair may hold any share of the lines.
     """
     sums = ("n", "reorders", "position_sum", "position_n")
-    orders = _pairs(prior).groupBy(*PAIR, *HISTORY_ORDER).agg(
+    lines = _pairs(prior).select(*PAIR, *HISTORY_ORDER, "add_to_cart_order", "reordered")
+    orders = by_piece(lines, PAIR, _piece(orders_per_piece)).groupBy(*PAIR, "piece", *HISTORY_ORDER).agg(
         F.sum("add_to_cart_order").alias("position_sum"),
         F.count("add_to_cart_order").alias("position_n"),
         *counts("reordered"),
     )
     added = [F.sum(c).alias(c) for c in ("position_sum", "position_n")]
-    pieces = orders.groupBy(*PAIR, _piece(orders_per_piece).alias("piece")).agg(
+    pieces = orders.groupBy(*PAIR, "piece").agg(
         F.sum(F.col("zeros") + F.col("ones")).alias("n"),
         F.sum("ones").alias("reorders"),
         *added,

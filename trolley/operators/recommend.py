@@ -8,8 +8,8 @@ from trolley.operators.models import score
 from trolley.operators.rates import RATE_KEYS
 from trolley.operators.training import assemble
 from trolley.schema import LAST_PURCHASE_DATE, MODEL_FEATURES, PAIR_FEATURES
-from trolley.sources.buckets import BUCKET, wanted_buckets, write_bucketed
-from trolley.sources.tables import read_table, write_table
+from trolley.sources.buckets import BUCKET, wanted_buckets
+from trolley.sources.releases import NewRelease
 
 # Serving tables with rows per user; a request for some users reads only their buckets.
 USER_TABLES = ["user_product_snapshot", "user_last_purchase", *[n for n, k in RATE_KEYS.items() if k[0] == "user_id"]]
@@ -98,48 +98,51 @@ def recommend(users, model, snapshot, rates, last_purchase, products, as_of, k=1
     return top_scored(score(model, features), products, k)
 
 
-def publish_serving(spark, tables, folder, n_buckets):
-    """Write serving tables below ``folder``, those with rows per user by the user's bucket."""
-    for name, df in tables.items():
-        if name in USER_TABLES:
-            write_bucketed(df, f"{folder}/{name}", "user_id", n_buckets)
-        else:
-            write_table(df, f"{folder}/{name}")
-    write_table(spark.range(1).select(F.lit(n_buckets).alias("n_buckets")), f"{folder}/layout")
+def publish_serving(spark, tables, folder, n_buckets, models=(), save=None):
+    """Commit a release of serving tables, those with rows per user by the user's bucket.
+
+    ``models`` has (name, model) pairs that ``save`` (model, path) writes.
+    """
+    with NewRelease(spark, folder) as release:
+        for name, df in tables.items():
+            key = "user_id" if name in USER_TABLES else None
+            release.write(name, df, key, n_buckets if key else None)
+        for name, model in models:
+            release.save(name, model, save)
 
 
-def serving_table(spark, folder, name, users=None):
+def serving_table(release, name, users=None):
     """A published serving table; given ``users``, only the buckets that hold them are read.
 
     The buckets are a subquery over the users that runs before the scan opens a
     file, so the plan is the same for one user and for all.
     """
-    rows = read_table(spark, f"{folder}/{name}")
+    rows = release.table(name)
     if name not in USER_TABLES:
         return rows
     if users is not None:
-        n_buckets = read_table(spark, f"{folder}/layout").first()["n_buckets"]
-        rows = rows.filter(F.array_contains(wanted_buckets(users, "user_id", n_buckets), F.col(BUCKET)))
+        wanted = wanted_buckets(users, "user_id", release.tables[name]["n_buckets"])
+        rows = rows.filter(F.array_contains(wanted, F.col(BUCKET)))
     return rows.drop(BUCKET)
 
 
-def served_features(spark, folder, users, as_of, max_gap=30):
-    """The 13 features of the candidates of some users from published tables, read by bucket.
+def served_features(release, users, as_of, max_gap=30):
+    """The 13 features of the candidates of some users from a release, read by bucket.
 
     Users without a recorded purchase have none.
     """
     def table(name):
-        rows = serving_table(spark, folder, name, users)
+        rows = serving_table(release, name, users)
         return rows.join(users, "user_id", "left_semi") if name in USER_TABLES else rows
 
     rates = {name: table(name) for name in RATE_KEYS}
     return context_features(table("user_product_snapshot"), rates, table("user_last_purchase"), as_of, max_gap)
 
 
-def serve(spark, folder, users, model, as_of, k=10, max_gap=30):
-    """``recommend`` for some users from published tables; only their buckets are read."""
-    features = served_features(spark, folder, users.select("user_id").distinct(), as_of, max_gap)
-    return top_scored(score(model, features), serving_table(spark, folder, "product_map"), k)
+def serve(release, users, model, as_of, k=10, max_gap=30):
+    """``recommend`` for some users from a release; only their buckets are read."""
+    features = served_features(release, users.select("user_id").distinct(), as_of, max_gap)
+    return top_scored(score(model, features), serving_table(release, "product_map"), k)
 
 
 def slot_names(by_slot, as_of):

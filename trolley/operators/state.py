@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.columns import ratio
 from trolley.functions.joins import lookup_join
-from trolley.functions.runs import ORDERS_PER_PIECE, SUMMARY_TYPE, counts, history, merge, summarise
+from trolley.functions.runs import ORDERS_PER_PIECE, SUMMARY_TYPE, by_piece, counts, history, merge, summarise
 from trolley.operators.pair import HISTORY_ORDER, PAIR
 from trolley.operators.rates import RATE_KEYS
 
@@ -96,14 +96,15 @@ def pair_state(lines, orders_per_piece=ORDERS_PER_PIECE):
     As in ``pair.user_product_features``, a long history is summarised in pieces.
     """
     known = lines.filter(F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
+    known = known.select(*PAIR, *HISTORY_ORDER, "add_to_cart_order", "reordered")
     piece = F.floor(F.coalesce("order_number", F.lit(0)) / F.lit(orders_per_piece))
-    orders = known.groupBy(*PAIR, *HISTORY_ORDER).agg(
+    orders = by_piece(known, PAIR, piece).groupBy(*PAIR, "piece", *HISTORY_ORDER).agg(
         F.coalesce(F.sum("add_to_cart_order"), F.lit(0)).alias("position_sum"),
         F.count("add_to_cart_order").alias("position_n"),
         *counts("reordered"),
     )
     place = F.struct(*HISTORY_ORDER)
-    pieces = orders.groupBy(*PAIR, piece.alias("piece")).agg(
+    pieces = orders.groupBy(*PAIR, "piece").agg(
         F.sum(F.col("zeros") + F.col("ones")).alias("n"), F.sum("ones").alias("reorders"),
         F.sum("position_sum").alias("position_sum"), F.sum("position_n").alias("position_n"),
         F.max("order_number").alias("last_order"), F.min(place).alias("first_place"), F.max(place).alias("last_place"),

@@ -114,6 +114,52 @@ def split(df, share=SPLIT_SHARE, seed=SPLIT_SEED):
     return df.filter(~held_out), df.filter(held_out)
 
 
+BITS, STEP = 60, 10  # of the key hash, and those settled in a round
+
+
+def _key_number(seed, *keys):
+    """The first 60 bits of the MD5 hash of the keys."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, BITS // 4), 16, 10).cast("long")
+
+
+def validation_limits(df, share=SPLIT_SHARE, seed=SPLIT_SEED, label=LABEL):
+    """Per label, the number below which its keys' hashes make up round(share * n) of its rows.
+
+    The limit is narrowed down ``STEP`` bits a round from counts of hashes by their
+    next bits, so rows are counted and never sorted, and no task sees a whole label.
+    What is broadcast has a row a label.
+    Halves round up. Rows with equal keys share a side; only they can make a label
+    exceed its share.
+    """
+    hashed = df.select(F.col(label).alias("label"), _key_number(seed, *KEYS).alias("h"))
+    wanted = F.floor(F.count("*") * F.lit(share) + 0.5)
+    limits = hashed.groupBy("label").agg(wanted.alias("wanted")).withColumn("low", F.lit(0).cast("long"))
+    for shift in range(BITS - STEP, -1, -STEP):
+        width = F.lit(1 << shift)
+        inside = hashed.join(F.broadcast(limits.withColumnRenamed("label", "l")), F.col("label").eqNullSafe(F.col("l"))).filter(
+            F.col("h").between(F.col("low"), F.col("low") + F.lit((1 << (shift + STEP)) - 1))
+        )
+        step = F.floor((F.col("h") - F.col("low")) / width)
+        counts = inside.groupBy("label", "wanted", "low", step.alias("step")).agg(F.count("*").alias("n"))
+        below = F.sum("n").over(W.partitionBy("label").orderBy("step").rowsBetween(W.unboundedPreceding, -1))
+        placed = counts.withColumn("below", F.coalesce(below, F.lit(0)))  # at most 2^STEP rows a label
+        last = F.max_by(F.struct("step", "below"), "step").alias("at")
+        chosen = placed.filter(F.col("below") < F.col("wanted")).groupBy("label", "wanted", "low").agg(last)
+        low = F.col("low") + (F.col("at.step") * width).cast("long")
+        limits = chosen.select("label", (F.col("wanted") - F.col("at.below")).alias("wanted"), low.alias("low"))
+    # The last row taken has this hash, so the limit lies one above; labels that want none have no limit.
+    return limits.select("label", (F.col("low") + 1).alias("limit"))
+
+
+def with_exact_split(df, share=SPLIT_SHARE, seed=SPLIT_SEED, label=LABEL):
+    """Add ``split``: 'val' for exactly round(share * n) rows of each label, else 'train'."""
+    limits = validation_limits(df, share, seed, label).select(F.col("label").alias("_label"), F.col("limit").alias("_limit"))
+    held_out = _key_number(seed, *KEYS) < F.coalesce("_limit", F.lit(0))
+    joined = df.join(F.broadcast(limits), F.col(label).eqNullSafe(F.col("_label")), "left")  # a row a label
+    return joined.select(*df.columns, F.when(held_out, "val").otherwise("train").alias("split"))
+
+
 def split_report(df):
     """Rows, positives and positive share per split of a ``with_split`` table."""
     return df.groupBy("split").agg(

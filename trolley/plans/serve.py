@@ -9,18 +9,20 @@ from datetime import datetime, timezone
 from trolley.operators.models import load_model
 from trolley.operators.recommend import route, serve, serving_table
 from trolley.session import build_session
+from trolley.sources.releases import Release
 from trolley.sources.tables import read_table, write_table
 
 
 def run(spark, trained, users, as_of, k=10, max_gap=30):
     """Recommendations for every user in ``users`` (user_id) at ``as_of``.
 
-    Of the tables with rows per user, only the buckets of these users are read.
+    Tables and model are those of the newest release. Of the tables with rows per
+    user, only the buckets of these users are read.
     """
-    folder = f"{trained}/serving"
-    personal = serve(spark, folder, users, load_model(spark, f"{trained}/model"), as_of, k, max_gap)
-    last_purchase = serving_table(spark, folder, "user_last_purchase", users)
-    return route(users, last_purchase, personal, serving_table(spark, folder, "slot_products"), as_of)
+    release = Release(spark, f"{trained}/serving")
+    personal = serve(release, users, load_model(spark, release.models["served"]), as_of, k, max_gap)
+    last_purchase = serving_table(release, "user_last_purchase", users)
+    return route(users, last_purchase, personal, serving_table(release, "slot_products"), as_of)
 
 
 def main(argv=None):

@@ -37,7 +37,7 @@ def write_table(df, path, fmt="parquet"):
         writer.parquet(path)
 
 
-def _located(spark, path):
+def locate(spark, path):
     """A Hadoop path and its file system."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -45,13 +45,13 @@ def _located(spark, path):
 
 def path_exists(spark, path):
     """Whether a file or folder is there, on whichever file system it names."""
-    hadoop_path, fs = _located(spark, path)
+    hadoop_path, fs = locate(spark, path)
     return fs.exists(hadoop_path)
 
 
 def remove_path(spark, path):
     """Remove a folder that this package wrote, with all below it."""
-    hadoop_path, fs = _located(spark, path)
+    hadoop_path, fs = locate(spark, path)
     fs.delete(hadoop_path, True)
 
 
