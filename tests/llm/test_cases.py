@@ -323,6 +323,32 @@ def test_near_duplicates_equal_brute_force(spark, percent):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), want[r.doc_id], want[r.doc_id] == r.doc_id)
 
 
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    first, second = prose(31, 120), prose(32, 120)
+    rows = [(1, first), (1, second), (2, second + " end"), (3, first), (4, prose(33, 90))]
+    got = near_duplicates.near_duplicates(docs(spark, rows), 85).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [
+        (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)
+    ]
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_groups_around_the_limit_equal_brute_force(spark, percent):
+    """Copies of copies: neighbours link, the ends of the chain do not, and many pairs lie just below the limit."""
+    text, rows = prose(41, 160), []
+    for i in range(40):
+        rows.append((i, text))
+        text = edited(text, 2, i)
+    rows += [(100 + i, edited(rows[20][1], 4, i)) for i in range(60)]
+    sets = {i: shingle_set(t) for i, t in rows}
+    linked = {
+        i: {j for j, b in sets.items() if i != j and 100 * len(a & b) >= percent * len(a | b)} for i, a in sets.items()
+    }
+    want = reach(linked)
+    got = near_duplicates.near_duplicates(docs(spark, rows), percent).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_drop_near_duplicates_keeps_one_of_each(spark):
     rows = [(1, prose(1, 90)), (2, prose(1, 90)), (3, prose(2, 90)), (4, None), (4, None), (None, "a"), (5, prose(2, 90) + " end")]
     kept = near_duplicates.drop_near_duplicates(docs(spark, rows))

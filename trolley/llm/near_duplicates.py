@@ -9,20 +9,20 @@ a pair at the wanted similarity does for all but a few in ten thousand. ``m``
 follows from the similarity, so that a pair exactly at it is a candidate with
 probability ``RECALL`` or more.
 
-Equal sets are one class from the start. Every class is compared with the
-smallest of its buckets' first classes; then the classes of a bucket are compared
-with its first ones, in growing numbers, but only across components that are
-still apart: a bucket of one component is done, so a big group of near copies
-costs about one comparison per member.
+Equal sets are one class from the start. In each bucket the class that shares most
+buckets with others leads and is compared with the rest, for the text that others
+were made from is the likeliest to link with all of them. Then the next leads, and
+then ever more at once, but only across components that are still apart: a bucket
+of one component is done, so a big group of near copies costs about one comparison
+per member. A class that has led has met its whole bucket and leaves it.
 Every comparison uses the full sets, recomputed from the texts; no pair of a bucket
-is left out unless it is already known to be connected.
+is left out unless it is already known to be connected or its sizes rule it out.
 
 Edge cases: texts that are null or have no words have an empty set and link with
 nothing; a null doc_id links with nothing, has no component and is kept. Rows that
-repeat a doc_id are judged by their texts; if different texts have the same
-smallest doc_id, one of them (the smallest digest) stands for that id in
-comparisons. ``drop_near_duplicates`` removes a doc_id if none of its rows is kept,
-and keeps all columns whatever their names. Empty tables give empty results.
+repeat a doc_id are judged by their texts, each of which is compared with others.
+``drop_near_duplicates`` removes a doc_id if none of its rows is kept, and keeps all
+columns whatever their names. Empty tables give empty results.
 """
 
 import itertools
@@ -40,7 +40,8 @@ from trolley.llm.textscan import column_bytes, groups, mix, runs, word_hashes
 SHINGLE = 5
 WIDTH = 3
 RECALL = 0.998
-GROWTH = 64  # classes of a bucket compared with the rest: the first 64, then 4096 more
+FIRST = 3  # rounds in which one class of a bucket leads
+GROWTH = 64  # then about 64 do, then 4096, and so on
 CHUNK = 256  # comparisons with one class that share a task's copy of its text
 
 
@@ -123,38 +124,32 @@ def _signatures(m):
 
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size), pa.array(total[:, 0].copy()), pa.array(total[:, 1].copy()),
-                 lists(key[:, :m]), lists(key[:, m:]), lists(np.concatenate(sketches))],
-                names=["doc_id", "n_shingles", "sum_1", "sum_2", "left_keys", "right_keys", "sketch"],
+                 lists(key[:, :m]), lists(key[:, m:]), lists(np.concatenate(sketches)), batch.column(1)],
+                names=["doc_id", "n_shingles", "sum_1", "sum_2", "left_keys", "right_keys", "sketch", "text"],
             )
 
     return run
 
 
 def signatures(docs, m):
-    """Per row: set size, a digest of the whole set, the two key collections, and bits of all minhashes."""
+    """Per row: set size, a digest of the whole set, the two key collections, bits of all minhashes, and the text."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, n_shingles long, sum_1 long, sum_2 long, left_keys array<long>, " \
-        "right_keys array<long>, sketch array<byte>"
+        "right_keys array<long>, sketch array<byte>, text string"
     return rows.mapInArrow(_signatures(m), schema)
 
 
-def _digest(own):
-    return int(np.add.reduce(mix(own)).view(np.int64))
-
-
 def _similar(percent):
     def run(batches):
         lead, lead_set = None, None
         for batch in batches:
             texts = column_bytes(batch, "text")
-            a, b, sums, first = (batch.column(k).to_pylist() for k in range(4))
+            a, b, first = (batch.column(k).to_pylist() for k in range(3))
             links, at = [], 0
             while at < len(texts):
                 # Sets are made for a megabyte of texts at a time.
                 upto = at + next(groups(texts[at:]))[1]
                 for i, own in enumerate(shingle_sets(texts[at:upto]), at):
-                    if _digest(own) != sums[i]:
-                        continue  # another text under the same id
                     if first[i]:
                         lead, lead_set = a[i], own
                         continue
@@ -173,8 +168,8 @@ def _similar(percent):
 def similar_pairs(texts, pairs, percent):
     """Those of the pairs (a, b) whose full sets are similar enough.
 
-    ``texts`` has b, sum_1 and text. The text of ``a`` goes once to every chunk
-    of its partners, and a task reads a chunk in order, holding one set.
+    ``texts`` has b and text. The text of ``a`` goes once to every chunk of its
+    partners, and a task reads a chunk in order, holding one set.
     """
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     chunk = F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int")
@@ -183,7 +178,7 @@ def similar_pairs(texts, pairs, percent):
     sides = members.withColumn("first", F.lit(False)).unionByName(leads.withColumn("first", F.lit(True)))
     rows = sides.join(texts, "b").withColumn("place", F.xxhash64("a", "chunk"))
     spread = rows.repartition("place").sortWithinPartitions("place", "a", "chunk", F.desc("first"))
-    return spread.select("a", "b", "sum_1", "first", "text").mapInArrow(_similar(percent), "a long, b long")
+    return spread.select("a", "b", "first", "text").mapInArrow(_similar(percent), "a long, b long")
 
 
 def near_duplicates(docs, percent=80):
@@ -192,81 +187,93 @@ def near_duplicates(docs, percent=80):
     Linked are documents whose sets have 100 * intersection >= percent * union.
     """
     m = collection_size(percent)
-    signed = stored(signatures(docs, m), "dup_signatures")
+    signed = stored(signatures(docs, m).withColumn("row", F.monotonically_increasing_id()), "dup_signatures")
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
+    # A class is a digest of a whole set; one of its rows, by number, is its node.
     same = ["n_shingles", "sum_1", "sum_2"]
-    banded = ["left_keys", "right_keys", "sketch"]
-    classes = stored(
-        usable.groupBy(*same).agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in banded]), "dup_classes"
-    )
-    first = F.min(F.struct("sum_1", "sum_2", *banded))
-    nodes = classes.groupBy("rep").agg(first.alias("s")).select("rep", "s.*")
-    labels = _labels(docs, nodes, m, percent)
-    own = classes.join(labels, classes["rep"] == labels["node"], "left").select(
-        *[F.col(c).alias(f"own_{c}") for c in same], F.coalesce("component", "rep").alias("component_id")
-    )
+    classes = stored(usable.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min("row").alias("node")), "dup_classes")
+    labels = _labels(signed, classes.select("node"), m, percent)
+    found = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = found.groupBy("component").agg(F.min("rep").alias("component_id"))
+    own = stored(found.join(smallest, "component").select(*same, "component_id"), "dup_components")
+    own = own.select(*[F.col(c).alias(f"own_{c}") for c in same], "component_id")
     matched = (signed["n_shingles"] > 0) & signed["doc_id"].isNotNull()
     for c in same:
         matched &= signed[c] == own[f"own_{c}"]
     component = F.coalesce("component_id", "doc_id")
-    return signed.join(own, matched, "left").select(
+    return signed.select("doc_id", *same).join(own, matched, "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
 
 
-def _labels(docs, nodes, m, percent):
-    """node and component of every node that is linked."""
+def _buckets(signed, classes, m):
+    """key, node and n of all table keys that several nodes share; and the nodes with sketch, size and mates.
+
+    ``mates`` counts the other nodes of all buckets of a node.
+    """
+    nodes = stored(
+        signed.select(F.col("row").alias("node"), "n_shingles", "sketch", "left_keys", "right_keys").join(classes, "node"),
+        "dup_nodes",
+    )
     table_keys = F.array(*[
         F.xxhash64(F.lit(i * m + j), F.col("left_keys")[i], F.col("right_keys")[j]) for i in range(m) for j in range(m)
     ])
-    buckets = nodes.select("rep", F.explode(table_keys).alias("key"))
-    shared = stored(buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "dup_keys")
-    rank = F.row_number().over(W.partitionBy("key").orderBy("rep"))
-    # Most keys are of one node; only the others get their sketches.
-    ranked = stored(
-        buckets.join(shared, "key").select("key", "rep", rank.alias("rank")).join(nodes.select("rep", "sketch"), "rep"),
-        "dup_buckets",
-    )
-    wanted = ranked.select("rep").distinct().join(nodes.select("rep", "sum_1"), "rep").withColumnRenamed("rep", "b")
-    texts = docs.select(F.col("doc_id").cast("long").alias("b"), F.col("text").cast("string"))
-    texts = stored(texts.join(wanted, "b").select("b", "sum_1", "text"), "dup_texts")
+    buckets = nodes.select("node", F.explode(table_keys).alias("key"))
+    shared = stored(buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "dup_keys")
+    members = stored(buckets.join(shared, "key"), "dup_buckets")
+    mates = members.groupBy("node").agg(F.sum("n").alias("mates"))
+    return members, stored(mates.join(nodes.select("node", "n_shingles", "sketch"), "node"), "dup_mates")
+
 
-    least = agreement(m, percent)
+def _labels(signed, classes, m, percent):
+    """node and component of every node that is linked."""
+    members, nodes = _buckets(signed, classes, m)
+    texts = stored(
+        signed.select(F.col("row").alias("b"), "text").join(nodes.select(F.col("node").alias("b")), "b"), "dup_texts"
+    )
+    sides = nodes.select("node", "n_shingles", "sketch")
+    lead_side = sides.select(*[F.col(c).alias(f"lead_{c}") for c in sides.columns])
+    agree = F.size(F.filter(F.zip_with("sketch", "lead_sketch", lambda x, y: x == y), lambda x: x)) >= agreement(m, percent)
+    small, large = F.least("n_shingles", "lead_n_shingles"), F.greatest("n_shingles", "lead_n_shingles")
     found = labels = tested = None
-    start, width = 0, 1
+    turn = 0
     while True:
-        # Nodes ranked above start and up to start + width are compared with all that follow them.
-        # The first time, each node is compared with just the smallest of its buckets' first nodes.
-        if labels is None:
-            labelled = ranked.withColumn("component", F.col("rep"))
-        else:
-            labelled = ranked.join(labels, ranked["rep"] == labels["node"], "left").select(
-                "key", "rep", "sketch", "rank", F.coalesce("component", "rep").alias("component")
-            )
-        rest = labelled.filter(F.col("rank") > start)
-        several = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        rest = stored(rest.join(several.filter("lo < hi").select("key"), "key"), "dup_buckets")
-        lead = rest.filter(F.col("rank") <= start + width).select(
-            F.col("key").alias("a_key"), F.col("rep").alias("a"), F.col("sketch").alias("a_sketch"),
-            F.col("rank").alias("a_rank"), F.col("component").alias("a_component"),
+        labelled = members.withColumn("component", F.col("node")) if labels is None else members.join(
+            labels, "node", "left"
+        ).withColumn("component", F.coalesce("component", "node"))
+        labelled = stored(labelled.join(nodes.select("node", "mates"), "node"), "dup_labelled")
+        apart = labelled.groupBy("key").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("node", "mates").alias("first"),
+            F.count("*").alias("left"),
         )
-        agree = F.size(F.filter(F.zip_with("sketch", "a_sketch", lambda x, y: x == y), lambda x: x)) >= least
-        near = (F.col("key") == F.col("a_key")) & (F.col("rank") > F.col("a_rank"))
-        met = rest.join(lead, near & (F.col("component") != F.col("a_component")) & agree).withColumn("b", F.col("rep"))
-        pairs = met.select("a", "b").distinct() if labels is not None else met.groupBy("b").agg(F.min("a").alias("a"))
+        apart = stored(apart.filter("lo < hi").select("key", "first", "left"), "dup_apart")
+        rest = stored(labelled.join(apart, "key").select("key", "node", "component", "first", "left"), "dup_rest")
+        if rest.isEmpty():
+            return labels if labels is not None else members.select("node", F.col("node").alias("component")).limit(0)
+        # At first one node of a bucket leads, then about GROWTH, GROWTH^2 ... of them, chosen by hash.
+        width = F.lit(float(GROWTH ** max(turn - FIRST + 1, 0)))
+        drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.greatest(F.ceil(F.col("left") / width), F.lit(1))) == 0
+        leads = F.col("node") == F.col("first")
+        rest = rest.withColumn("leads", leads if turn < FIRST else leads | drawn)
+        lead = rest.filter("leads").select("key", F.col("node").alias("lead_node"), F.col("component").alias("lead_component"))
+        lead = stored(lead, "dup_leads")
+        met = rest.join(lead, "key").filter("component != lead_component")
+        # A pair of two leads is met from one side only.
+        once = ~F.col("leads") | (F.col("node") > F.col("lead_node"))
+        pairs = met.filter(once).select("node", "lead_node").distinct()
+        pairs = pairs.join(sides, "node").join(lead_side, "lead_node").filter((100 * small >= percent * large) & agree)
+        pairs = pairs.select(F.col("lead_node").alias("a"), F.col("node").alias("b"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "dup_pairs")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs)
+        tested = pairs if tested is None else tested.unionByName(pairs)
         linked = stored(similar_pairs(texts, pairs, percent), "dup_links")
         found = linked if found is None else found.unionByName(linked)
-        ranked = rest.select("key", "rep", "sketch", "rank")
-        start, width = (0, GROWTH) if labels is None else (start + width, width * GROWTH)
         if labels is None or not linked.isEmpty():
             labels = components(found)
-        if rest.filter(F.col("rank") > start + 1).isEmpty():
-            return labels
+        members = rest.filter(~F.col("leads")).select("key", "node")
+        turn += 1
 
 
 def drop_near_duplicates(docs, percent=80):
