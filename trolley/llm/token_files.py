@@ -8,11 +8,11 @@ of every frame before it. A reader finds a document by the last two and
 decompresses nothing else; the checksum (low 32 bits of XXH64 over the ids' bytes) is
 verified for each frame read.
 
-Byte-level BPE ids of a text are those of its space-led words one after another
-as long as no two white-space characters meet and no added token such as
-``<|endoftext|>`` occurs, so such texts are looked up word by word and the library
-encodes each distinct word once per worker; all other texts are encoded whole, and
-added tokens get their own ids, as by the library's default.
+Byte-level BPE ids of a text are those of its words, each led by its space or line
+end, one after another as long as no two white-space characters meet and no added
+token such as ``<|endoftext|>`` occurs, so such texts are looked up word by word and
+the library encodes each distinct word once per worker; all other texts are encoded
+whole, and added tokens get their own ids, as by the library's default.
 
 Files go below the shared folder through pyarrow's file systems, which name local
 paths and object stores alike. Every attempt of a task writes a file of its own
@@ -59,27 +59,35 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Where one of these occurs, words are not encoded alone.
-        self.whole = re.compile("|".join([_MEETING, *sorted(added, key=len, reverse=True)]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype, self.recent, self.older, self.tails = dtype, {}, {}, {}
         vocabulary = self.tokenizer.get_vocab()
         self.leads = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose bytes begin with a space
         self.leads[[i for token, i in vocabulary.items() if token[0] == "\u0120"]] = True
+        self.line = self._ids("\n")[0]
 
     def _ids(self, text):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
 
-    def _words(self, words):
-        """Bytes of each word with a space before it."""
-        if not words:
-            return []
-        ids = self._ids(" " + " ".join(words))
+    def _cut(self, text, leads):
+        """Bytes of the words of a text, each beginning with an id of ``leads``."""
+        ids = self._ids(text)
         width = np.dtype(self.dtype).itemsize
-        cuts = (np.flatnonzero(self.leads[ids]) * width).tolist()
+        cuts = (np.flatnonzero(leads(ids)) * width).tolist()
         data = ids.astype(self.dtype).tobytes()
         return [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
 
+    def _words(self, words):
+        """Each word with its bytes: with its line end if it begins with one, else with a space before it."""
+        lined = [w for w in words if w[:1] == "\n" and len(w) > 1]  # a line end alone would join the next one
+        spaced = [w for w in words if w[:1] != "\n"]
+        if spaced:
+            yield from zip(spaced, self._cut(" " + " ".join(spaced), lambda ids: self.leads[ids]))
+        if lined:
+            yield from zip(lined, self._cut("".join(lined), lambda ids: ids == self.line))
+        if "\n" in words:
+            yield "\n", self._ids("\n").astype(self.dtype).tobytes()
+
     def _learn(self, words):
         """Add new words. Signs after a letter or digit are a token group of their own."""
         recent, tails = self.recent, self.tails
@@ -91,16 +99,20 @@ class Encoder:
             else:
                 parts.append((word, stem, word[len(stem) :]))
         new = list({stem for _, stem, _ in parts}.difference(recent))
-        recent.update(zip(new, self._words(new)))
+        recent.update(self._words(new))
         for tail in {t for _, _, t in parts}.difference(tails):
             tails[tail] = self._ids(tail).astype(self.dtype).tobytes() if tail else b""
         recent.update((word, recent[stem] + tails[tail]) for word, stem, tail in parts if tail)
         if len(tails) > CACHED_WORDS:
             tails.clear()
 
+    def _is_whole(self, text):
+        """Whether words of the text must not be encoded alone."""
+        return _MEETING.search(text) is not None or any(token in text for token in self.added)
+
     def encode(self, texts):
         """One byte string per text."""
-        split = [None if self.whole.search(t) else t.split(" ") for t in texts]
+        split = [None if self._is_whole(t) else t.replace("\n", " \n").split(" ") for t in texts]
         wanted = set().union(*[words[1:] for words in split if words])
         recent, older = self.recent, self.older
         missing = wanted.difference(recent)
@@ -119,7 +131,7 @@ class Encoder:
 
 _SIGNS = ".,;:!?)|%*#&$\""
 # White space after white space.
-_MEETING = r"\s\s"
+_MEETING = re.compile(r"\s\s")
 
 
 def encoder(path, dtype):
@@ -166,7 +178,9 @@ class TokenFile:
     """Reads the documents of one file by their place in it; ``source`` can seek."""
 
     def __init__(self, source):
-        self.source = source
+        import zstandard
+
+        self.source, self.press = source, zstandard.ZstdDecompressor()
         end = source.seek(0, 2)
         count, flags, magic = struct.unpack("<IBI", self._at(end - 9, 9))
         if magic != SEEKABLE_END or not flags & 0x80:
@@ -183,10 +197,8 @@ class TokenFile:
 
     def read(self, place):
         """Ids of the document at a place; only its frame is decompressed."""
-        import zstandard
-
         size, plain, checksum = self.sizes[place + 1]
-        data = zstandard.ZstdDecompressor().decompress(self._at(self.starts[place + 1], size), max_output_size=int(plain) or 1)
+        data = self.press.decompress(self._at(self.starts[place + 1], size), max_output_size=int(plain) or 1)
         if len(data) != plain or _checksum(data) != checksum:
             raise ValueError(f"frame {place} is damaged")
         return np.frombuffer(data, self.dtype)
