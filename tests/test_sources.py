@@ -105,3 +105,12 @@ def test_shared_folder_comes_from_the_session():
         session.shared_dir(_Session("spark://host:7077"))
     local = session.shared_dir(_Session("local[2]"))
     assert os.path.isdir(local) and session.shared_dir(_Session("local[2]")) == local
+
+
+def test_intermediate_tables_can_be_removed(spark):
+    one, two = session.work_folder(spark, "a"), session.work_folder(spark, "a")
+    assert one != two
+    spark.range(3).write.parquet(one)
+    session.clean(spark)
+    assert not os.path.exists(one) and os.path.exists(session.shared_dir(spark))
+    session.clean(spark)

@@ -20,7 +20,6 @@ first feature, then the lowest bin.
 
 import math
 import random
-import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -32,7 +31,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from trolley.schema import LABEL, MODEL_FEATURES
-from trolley.session import shared_dir
+from trolley.session import work_folder
 
 UNIT = 1 << 24
 STORE_EVERY = 16  # trees applied on the way before margins are stored again
@@ -181,7 +180,7 @@ class Grower:
         return df.select(*values, F.col(LABEL).cast("double").alias("label"), F.lit(held).alias("held"))
 
     def _write(self, rows):
-        path = f"{shared_dir(self.spark)}/boosting/{uuid.uuid4().hex}"
+        path = work_folder(self.spark, "boosting")
         rows.write.parquet(path)
         return self.spark.read.schema(_ROWS).parquet(path)
 

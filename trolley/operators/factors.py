@@ -9,13 +9,12 @@ multiplicative updates. Neither half can raise the squared error. Patterns stay
 Spark; there may be as many as products.
 """
 
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from trolley.session import shared_dir
+from trolley.session import work_folder
 
 SWEEPS = 200  # coordinate descents of a pattern's factors
 UPDATES = 50  # multiplicative updates of the column factors a round
@@ -104,7 +103,7 @@ def pattern_factors(flagged, names, k=3, seed=42, prefix="factor_", key="product
     """``k`` factors per row, scaled to unit length; rows without flags stay zero."""
     spark = flagged.sparkSession
     coded = flagged.select(key, F.concat(*[F.coalesce(name, F.lit(0)).cast("string") for name in names]).alias("pattern"))
-    folder = f"{shared_dir(spark)}/factors/{uuid.uuid4().hex}"
+    folder = work_folder(spark, "factors")
     coded.groupBy("pattern").agg(F.count("*").alias("n")).write.parquet(f"{folder}/patterns")
     patterns = spark.read.parquet(f"{folder}/patterns")
     columns, _ = factorise(patterns, len(names), k, seed, rounds)

@@ -2,6 +2,7 @@
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +48,17 @@ def shared_dir(spark):
     return _local_dirs[context.applicationId]
 
 
+def work_folder(spark, kind):
+    """A new folder for intermediate tables of this application; no two calls return the same."""
+    return f"{shared_dir(spark)}/work/{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"
+
+
+def clean(spark):
+    """Remove the intermediate tables of this application, once its results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/work/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ensure_checkpoints(spark):
     """Give iterative training a checkpoint folder if the session has none."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -1,6 +1,5 @@
-"""Raw tables read once, with bad rows set aside and counts taken on the way."""
+"""Raw tables parsed once, with bad rows set aside and counted."""
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,26 +29,28 @@ class CheckedTable:
     """A raw table that was written with its bad rows apart: ``good``, ``rejected`` and ``counts``.
 
     ``counts`` has n_rows and n_rejected, and for every column the missing values
-    of the good rows, all taken while the table was written.
+    of the good rows. They come from one pass over the columns written, so the raw
+    files are parsed only once.
     """
 
-    def __init__(self, spark, path, schema, counts):
-        self.counts = counts
+    def __init__(self, spark, path, schema):
         types = T.StructType([*schema.fields, T.StructField(RAW_LINE, T.StringType()), T.StructField(REJECTED, T.BooleanType())])
         rows = spark.read.schema(types).parquet(path)
         self.good = rows.filter(~F.col(REJECTED)).select(*schema.fieldNames())
         self.rejected = rows.filter(F.col(REJECTED)).select(F.col(RAW_LINE).alias("raw_line"))
+        missing = [F.count_if(~F.col(REJECTED) & F.col(c).isNull()).alias(c) for c in schema.fieldNames()]
+        found = rows.agg(F.count("*").alias("_n"), F.count_if(REJECTED).alias("_bad"), *missing).first()
+        self.counts = {
+            "n_rows": found["_n"] - found["_bad"], "n_rejected": found["_bad"],
+            "missing": {c: found[c] for c in schema.fieldNames()},
+        }
 
 
 def check_table(spark, source, target, schema, fmt="csv"):
     """Copy a raw table to ``target`` as Parquet in one pass, bad rows in a partition of their own."""
-    flagged, seen = _flagged(spark, source, schema, fmt), Observation()
-    missing = [F.count_if(~F.col(REJECTED) & F.col(c).isNull()).alias(c) for c in schema.fieldNames()]
-    counted = flagged.observe(seen, F.count("*").alias("_n"), F.count_if(REJECTED).alias("_bad"), *missing)
-    counted.write.mode("overwrite").partitionBy(REJECTED).parquet(target)
-    found = seen.get
-    counts = {"n_rows": found["_n"] - found["_bad"], "n_rejected": found["_bad"], "missing": {c: found[c] for c in schema.fieldNames()}}
-    return CheckedTable(spark, target, schema, counts)
+    flagged = _flagged(spark, source, schema, fmt)
+    flagged.write.mode("overwrite").partitionBy(REJECTED).parquet(target)
+    return CheckedTable(spark, target, schema)
 
 
 def check_tables(spark, path, target, fmt="csv", tables=RAW_TABLES, max_rejected=None):
