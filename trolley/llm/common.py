@@ -1,10 +1,8 @@
 """What the operators share: input tables, stored stages, column names."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from trolley.session import shared_dir
+from trolley.session import work_folder
 
 # Words as every operator here takes them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,8 +14,8 @@ def table(spark, folder, name):
 
 
 def scratch(spark, name):
-    """A new path below the shared folder; no two calls return the same."""
-    return f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, there until ``session.clean``; no two calls return the same."""
+    return work_folder(spark, name)
 
 
 def stored(df, name):
