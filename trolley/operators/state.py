@@ -36,16 +36,16 @@ class Sums:
         keys = [f"{k} {t}" for k, t in zip(self.keys, self.key_types)]
         return ", ".join([*keys, *[f"{name} {kind[2]}" for name, kind in self.columns.items()]])
 
-    def of_lines(self, lines):
-        """The state of some lines; a sum without values is 0."""
+    def per_line(self, lines):
+        """The state of each line by itself, for ``merged``; a missing value adds 0 to a sum."""
         needed = [F.col(k).isNotNull() for k in self.keys if k not in self.optional]
-        made = {"sum": lambda value: F.coalesce(F.sum(value), F.lit(0)), "max": F.max}
-        return lines.filter(reduce(lambda a, b: a & b, needed)).groupBy(*self.keys).agg(*[
+        made = {"sum": lambda value: F.coalesce(value, F.lit(0)), "max": lambda value: value}
+        return lines.filter(reduce(lambda a, b: a & b, needed)).select(*self.keys, *[
             made[kind](F.expr(value)).cast(type_name).alias(name) for name, (kind, value, type_name) in self.columns.items()
         ])
 
     def merged(self, old, new):
-        """One row per key of either state."""
+        """One row per key of either state; a state may have several rows per key, which are added up."""
         names = [*self.keys, *self.columns]
         return old.select(*names).unionByName(new.select(*names)).groupBy(*self.keys).agg(*[
             (F.sum(name) if kind == "sum" else F.max(name)).alias(name)

@@ -87,7 +87,7 @@ class Batch:
         sums = SUM_STATES[name]
         touched = wanted_buckets(lines.filter(F.col(sums.keys[0]).isNotNull()), sums.keys[0], self.n_buckets)
         old = self.table(name, sums.schema, touched)
-        self._put(name, sums.merged(old, sums.of_lines(lines)), sums.keys[0])
+        self._put(name, sums.merged(old, sums.per_line(lines)), sums.keys[0])
 
     def _merged_pairs(self, lines):
         touched = wanted_buckets(lines.dropna(subset=PAIR), "user_id", self.n_buckets)
