@@ -66,15 +66,11 @@ def lookup_join(
         *fact.columns,
         served.alias("_served"),
         *[value.alias(f"_near_{name}") for name, value in near.items()],
-        *[F.when(~served, F.col(k)).alias(f"_{k}") for k in keys],
-        F.when(unbound, F.xxhash64(*spread)).otherwise(F.xxhash64(*keys)).alias("_place"),
+        F.when(unbound, F.hash(*spread)).otherwise(F.hash(*keys)).alias("_place"),
     )
-    right = table.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.xxhash64(*keys).alias("_place"),
-        F.struct(*fields).alias("_row"),
-    )
-    joined = left.join(right, [*[f"_{k}" for k in keys], "_place"], "left")
+    # A served row may meet its table row once more, which changes nothing.
+    right = table.select(*keys, F.hash(*keys).alias("_place"), F.struct(*fields).alias("_row"))
+    joined = left.join(right, [*keys, "_place"], "left")
     if how == "inner":
         joined = joined.filter(F.col("_served") | F.col("_row").isNotNull())
     far = read(F.col("_row"))

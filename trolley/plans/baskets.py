@@ -14,10 +14,12 @@ from trolley.operators.enrich import combine, enrich_products
 from trolley.operators.pair import user_product_features
 from trolley.operators.rates import RATE_KEYS, rate_table
 from trolley.operators.training import training_set
-from trolley.session import shared_dir
+from trolley.session import shared_dir, widen
 from trolley.sources import star
 from trolley.sources.tables import read_table, write_table
 
+ROW_GROUP = 4 << 20
+
 
 @dataclass
 class Baskets:
@@ -33,7 +35,8 @@ class Baskets:
         """The table ``name``, built and written if this is its first use."""
         if name not in self._done:
             path = f"{self.folder}/{name}"
-            write_table(build(), path)
+            # Small row groups, so that a scan can be split by its rows.
+            write_table(build(), path, **{"parquet.block.size": ROW_GROUP})
             self._done[name] = read_table(self.spark, path)
         return self._done[name]
 
@@ -50,7 +53,8 @@ class Baskets:
             "placed_lines",
             lambda: star.placed_lines(self._star("lineitem"), self.numbered_orders, self._star("part")),
         )
-        return self.stored("lines", lambda: star.with_reordered(placed))
+        first = self.stored("first_orders", lambda: star.first_orders(placed))
+        return self.stored("lines", lambda: star.with_reordered(placed, first))
 
     @property
     def orders(self):
@@ -136,5 +140,6 @@ def open_baskets(spark, source):
     if key not in _opened:
         digest = hashlib.sha1(source.encode()).hexdigest()[:12]
         folder = f"{shared_dir(spark)}/trolley/{key[0]}/{digest}"
+        widen(spark, read_table(spark, f"{source}/lineitem.parquet").count())
         _opened[key] = Baskets(spark, source, folder)
     return _opened[key]

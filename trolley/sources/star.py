@@ -125,16 +125,24 @@ def placed_lines(lineitem, orders, part):
     )
 
 
-def with_reordered(placed):
+PAIR = ["user_id", "product_id"]
+
+
+def first_orders(placed):
+    """Per pair, the number of the first order with it and its lines."""
+    return placed.groupBy(*PAIR).agg(F.min("order_number").alias("first_order"), F.count("*").alias("n"))
+
+
+def with_reordered(placed, first=None):
     """Placed lines with ``reordered``: 1 if the user bought the product in an earlier order.
 
-    ``placed`` is used several times, so pass a stored table.
+    ``placed`` and ``first``, its ``first_orders``, are used several times, so pass
+    stored tables.
     """
-    pair = ["user_id", "product_id"]
-    first = placed.groupBy(*pair).agg(
-        F.min("order_number").alias("first_order"), F.count("*").alias("n")
+    first = first_orders(placed) if first is None else first
+    with_first = lookup_join(
+        placed, first.select(*PAIR, "first_order"), PAIR, ["order_id"], weights=first, weight="n", how="inner"
     )
-    with_first = lookup_join(placed, first, pair, ["order_id"], weights=first, weight="n", how="inner")
     return with_first.select(
         "order_id",
         "product_id",
