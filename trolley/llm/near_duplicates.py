@@ -5,7 +5,9 @@ sequence). Two small collections of ``m`` hash keys each, every key made of
 ``WIDTH`` minhashes, are combined pair by pair into m * m table keys: as many
 tables as 2 * m * WIDTH minhashes would never give one by one. Candidates share a
 table key, and so many of the minhashes themselves, told by seven bits of each, as
-a pair at the wanted similarity does for all but a few in ten thousand. ``m``
+a pair at the wanted similarity does for all but a few in ten thousand. Of those, the
+ones whose odd sketches (bit h of ``ODD`` flipped by every shingle of hash h) differ in
+more bits than so similar sets do are left out. ``m``
 follows from the similarity, so that a pair exactly at it is a candidate with
 probability ``RECALL`` or more.
 
@@ -42,6 +44,8 @@ WIDTH = 3
 RECALL = 0.998
 FIRST = 3  # rounds in which one class of a bucket leads
 GROWTH = 64  # then about 64 do, then 4096, and so on
+ODD = 1024  # bits of an odd sketch
+SPREADS = 5  # standard deviations above the mean that its differing bits may reach
 CHUNK = 256  # comparisons with one class that share a task's copy of its text
 
 
@@ -65,6 +69,34 @@ def agreement(m, percent):
     return least
 
 
+def odd_sketches(owners, hashes, n):
+    """For each of ``n`` sets a row of longs: the parity of its hashes in each of ``ODD`` places.
+
+    The bits in which two sketches differ are those of the sets' symmetric difference,
+    so never more than its size.
+    """
+    places, rows = (mix(hashes ^ np.uint64(0x3C3C3C3C)) % np.uint64(ODD)).astype(np.int64), []
+    for start in range(0, n, 512):
+        end = min(start + 512, n)
+        a, b = np.searchsorted(owners, [start, end])
+        counts = np.bincount((owners[a:b] - start) * ODD + places[a:b], minlength=(end - start) * ODD)
+        rows.append(np.packbits((counts & 1).astype(np.uint8).reshape(-1, ODD), axis=1).view(np.int64))
+    return np.concatenate(rows) if rows else np.zeros((0, ODD // 64), np.int64)
+
+
+def odd_limit(total, percent):
+    """How many bits the odd sketches of two similar sets of ``total`` shingles together differ in at most.
+
+    Sets at the limit differ in d shingles. These flip no more than d bits, and beyond
+    ``SPREADS`` standard deviations above the mean only one in a million times.
+    """
+    d = F.floor(total * F.lit(100 - percent) / F.lit(100 + percent))
+    once, twice = F.pow(F.lit(1 - 2 / ODD), d), F.pow(F.lit(1 - 4 / ODD), d)
+    mean = ODD / 2 * (1 - once)
+    variance = ODD / 4 * (1 - twice) + ODD**2 / 4 * (twice - once * once)
+    return F.least(d.cast("double"), mean + SPREADS * F.sqrt(F.greatest(variance, F.lit(1.0))))
+
+
 def shingle_sets(texts):
     """Sorted distinct shingle hashes of each text."""
     sets = []
@@ -90,7 +122,7 @@ def _signatures(m):
     def run(batches):
         for batch in batches:
             texts = column_bytes(batch, "text")
-            sizes, sums, keys, sketches = [], [], [], []
+            sizes, sums, keys, sketches, odds = [], [], [], [], []
             for start, end in groups(texts):
                 sets = shingle_sets(texts[start:end])
                 size = np.array([len(s) for s in sets])
@@ -99,6 +131,7 @@ def _signatures(m):
                 total = np.zeros((end - start, 2), np.uint64)
                 key = np.zeros((end - start, 2 * m), np.uint64)
                 sketch = np.zeros((end - start, 2 * m * WIDTH), np.int8)
+                odds.append(odd_sketches(np.repeat(np.arange(end - start), size), np.concatenate(sets), end - start))
                 if len(full):
                     flat = np.concatenate([sets[i] for i in full])
                     at = np.concatenate(([0], np.cumsum(size[full])[:-1]))
@@ -124,18 +157,18 @@ def _signatures(m):
 
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size), pa.array(total[:, 0].copy()), pa.array(total[:, 1].copy()),
-                 lists(key[:, :m]), lists(key[:, m:]), lists(np.concatenate(sketches)), batch.column(1)],
-                names=["doc_id", "n_shingles", "sum_1", "sum_2", "left_keys", "right_keys", "sketch", "text"],
+                 lists(key[:, :m]), lists(key[:, m:]), lists(np.concatenate(sketches)), lists(np.concatenate(odds)), batch.column(1)],
+                names=["doc_id", "n_shingles", "sum_1", "sum_2", "left_keys", "right_keys", "sketch", "odd", "text"],
             )
 
     return run
 
 
 def signatures(docs, m):
-    """Per row: set size, a digest of the whole set, the two key collections, bits of all minhashes, and the text."""
+    """Per row: set size, a digest of the whole set, the two key collections, bits of all minhashes, the odd sketch, and the text."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, n_shingles long, sum_1 long, sum_2 long, left_keys array<long>, " \
-        "right_keys array<long>, sketch array<byte>, text string"
+        "right_keys array<long>, sketch array<byte>, odd array<long>, text string"
     return rows.mapInArrow(_signatures(m), schema)
 
 
@@ -208,22 +241,29 @@ def near_duplicates(docs, percent=80):
 
 
 def _buckets(signed, classes, m):
-    """key, node and n of all table keys that several nodes share; and the nodes with sketch, size and mates.
+    """key, place, node and n of all table keys that several nodes share; and the nodes with sketches, keys, size and mates.
 
     ``mates`` counts the other nodes of all buckets of a node.
     """
     nodes = stored(
-        signed.select(F.col("row").alias("node"), "n_shingles", "sketch", "left_keys", "right_keys").join(classes, "node"),
+        signed.select(F.col("row").alias("node"), "n_shingles", "sketch", "odd", "left_keys", "right_keys").join(classes, "node"),
         "dup_nodes",
     )
     table_keys = F.array(*[
         F.xxhash64(F.lit(i * m + j), F.col("left_keys")[i], F.col("right_keys")[j]) for i in range(m) for j in range(m)
     ])
-    buckets = nodes.select("node", F.explode(table_keys).alias("key"))
+    buckets = nodes.select("node", F.posexplode(table_keys).alias("place", "key"))
     shared = stored(buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "dup_keys")
     members = stored(buckets.join(shared, "key"), "dup_buckets")
     mates = members.groupBy("node").agg(F.sum("n").alias("mates"))
-    return members, stored(mates.join(nodes.select("node", "n_shingles", "sketch"), "node"), "dup_mates")
+    # Of the keys, 32 bits do to tell which two nodes share.
+    short = [F.transform(side, lambda key: F.hash(key)).alias(side) for side in ("left_keys", "right_keys")]
+    return members, stored(mates.join(nodes.select("node", "n_shingles", "sketch", "odd", *short), "node"), "dup_mates")
+
+
+def _first_common(left, right):
+    """The first place at which two lists agree."""
+    return F.array_position(F.zip_with(left, right, lambda x, y: x == y), F.lit(True)) - 1
 
 
 def _labels(signed, classes, m, percent):
@@ -232,9 +272,13 @@ def _labels(signed, classes, m, percent):
     texts = stored(
         signed.select(F.col("row").alias("b"), "text").join(nodes.select(F.col("node").alias("b")), "b"), "dup_texts"
     )
-    sides = nodes.select("node", "n_shingles", "sketch")
+    sides = nodes.select("node", "n_shingles", "sketch", "odd")
+    keys = nodes.select("node", "left_keys", "right_keys")
     lead_side = sides.select(*[F.col(c).alias(f"lead_{c}") for c in sides.columns])
     agree = F.size(F.filter(F.zip_with("sketch", "lead_sketch", lambda x, y: x == y), lambda x: x)) >= agreement(m, percent)
+    bits = F.zip_with("odd", "lead_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    agree &= differ <= odd_limit(F.col("n_shingles") + F.col("lead_n_shingles"), percent)
     small, large = F.least("n_shingles", "lead_n_shingles"), F.greatest("n_shingles", "lead_n_shingles")
     found = labels = tested = None
     turn = 0
@@ -248,7 +292,7 @@ def _labels(signed, classes, m, percent):
             F.count("*").alias("left"),
         )
         apart = stored(apart.filter("lo < hi").select("key", "first", "left"), "dup_apart")
-        rest = stored(labelled.join(apart, "key").select("key", "node", "component", "first", "left"), "dup_rest")
+        rest = stored(labelled.join(apart, "key").select("key", "place", "node", "component", "first", "left"), "dup_rest")
         if rest.isEmpty():
             return labels if labels is not None else members.select("node", F.col("node").alias("component")).limit(0)
         # At first one node of a bucket leads, then about GROWTH, GROWTH^2 ... of them, chosen by hash.
@@ -256,12 +300,19 @@ def _labels(signed, classes, m, percent):
         drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.greatest(F.ceil(F.col("left") / width), F.lit(1))) == 0
         leads = F.col("node") == F.col("first")
         rest = rest.withColumn("leads", leads if turn < FIRST else leads | drawn)
-        lead = rest.filter("leads").select("key", F.col("node").alias("lead_node"), F.col("component").alias("lead_component"))
-        lead = stored(lead, "dup_leads")
-        met = rest.join(lead, "key").filter("component != lead_component")
+        wanted = F.col("component") != F.col("lead_component")
         # A pair of two leads is met from one side only.
-        once = ~F.col("leads") | (F.col("node") > F.col("lead_node"))
-        pairs = met.filter(once).select("node", "lead_node").distinct()
+        wanted &= ~F.col("leads") | (F.col("node") > F.col("lead_node"))
+        listed, columns = rest, ["node", "component"]
+        if turn >= FIRST:
+            # Similar nodes share many buckets; where many lead, a pair is met in the first of them only.
+            listed, columns = rest.join(keys, "node"), [*columns, "left_keys", "right_keys"]
+            left, right = (_first_common(side, f"lead_{side}") for side in ("left_keys", "right_keys"))
+            wanted &= F.col("place") == left * m + right
+        lead = stored(
+            listed.filter("leads").select("key", *[F.col(c).alias(f"lead_{c}") for c in columns]), "dup_leads"
+        )
+        pairs = listed.join(lead, "key").filter(wanted).select("node", "lead_node").distinct()
         pairs = pairs.join(sides, "node").join(lead_side, "lead_node").filter((100 * small >= percent * large) & agree)
         pairs = pairs.select(F.col("lead_node").alias("a"), F.col("node").alias("b"))
         if tested is not None:
@@ -272,7 +323,7 @@ def _labels(signed, classes, m, percent):
         found = linked if found is None else found.unionByName(linked)
         if labels is None or not linked.isEmpty():
             labels = components(found)
-        members = rest.filter(~F.col("leads")).select("key", "node")
+        members = rest.filter(~F.col("leads")).select("key", "place", "node")
         turn += 1
 
 
