@@ -273,12 +273,12 @@ def _labels(signed, classes, m, percent):
         signed.select(F.col("row").alias("b"), "text").join(nodes.select(F.col("node").alias("b")), "b"), "dup_texts"
     )
     sides = nodes.select("node", "n_shingles", "sketch", "odd")
-    keys = nodes.select("node", "left_keys", "right_keys")
+    told = ["n_shingles", "odd", "left_keys", "right_keys"]
     lead_side = sides.select(*[F.col(c).alias(f"lead_{c}") for c in sides.columns])
     agree = F.size(F.filter(F.zip_with("sketch", "lead_sketch", lambda x, y: x == y), lambda x: x)) >= agreement(m, percent)
     bits = F.zip_with("odd", "lead_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
-    agree &= differ <= odd_limit(F.col("n_shingles") + F.col("lead_n_shingles"), percent)
+    near = differ <= odd_limit(F.col("n_shingles") + F.col("lead_n_shingles"), percent)
     small, large = F.least("n_shingles", "lead_n_shingles"), F.greatest("n_shingles", "lead_n_shingles")
     found = labels = tested = None
     turn = 0
@@ -305,15 +305,16 @@ def _labels(signed, classes, m, percent):
         wanted &= ~F.col("leads") | (F.col("node") > F.col("lead_node"))
         listed, columns = rest, ["node", "component"]
         if turn >= FIRST:
-            # Similar nodes share many buckets; where many lead, a pair is met in the first of them only.
-            listed, columns = rest.join(keys, "node"), [*columns, "left_keys", "right_keys"]
+            # Similar nodes share many buckets; where many lead, a pair is met in the first of them only,
+            # and told apart on the spot if it can be.
+            listed, columns = rest.join(nodes.select("node", *told), "node"), [*columns, *told]
             left, right = (_first_common(side, f"lead_{side}") for side in ("left_keys", "right_keys"))
-            wanted &= F.col("place") == left * m + right
+            wanted &= (F.col("place") == left * m + right) & near
         lead = stored(
             listed.filter("leads").select("key", *[F.col(c).alias(f"lead_{c}") for c in columns]), "dup_leads"
         )
         pairs = listed.join(lead, "key").filter(wanted).select("node", "lead_node").distinct()
-        pairs = pairs.join(sides, "node").join(lead_side, "lead_node").filter((100 * small >= percent * large) & agree)
+        pairs = pairs.join(sides, "node").join(lead_side, "lead_node").filter((100 * small >= percent * large) & agree & near)
         pairs = pairs.select(F.col("lead_node").alias("a"), F.col("node").alias("b"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
