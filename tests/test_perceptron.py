@@ -38,3 +38,8 @@ def test_gradient_is_the_slope_of_the_loss():
     for k in range(len(at)):
         step = np.eye(len(at))[k] * 1e-6
         assert abs((sums(at + step)[-1] - sums(at - step)[-1]) / 2e-6 - sums(at)[k]) < 1e-5
+
+
+def test_a_bracket_gives_the_least_point_from_either_end():
+    ends = [(t, (t - 0.3) ** 2, 2 * (t - 0.3)) for t in (0.0, 1.0)]
+    assert abs(perceptron._between(*ends) - 0.3) < 1e-12 and abs(perceptron._between(*ends[::-1]) - 0.3) < 1e-12
