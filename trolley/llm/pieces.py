@@ -78,24 +78,23 @@ class Model:
         self._clear()
 
     def _index(self):
-        """Hashes of the pieces by length, and of all their beginnings."""
+        """Hashes of all beginnings of the pieces by length, and the piece that each is, or -1."""
         self.longest = max(map(len, self.text))
-        by_length = [[] for _ in range(self.longest + 1)]
-        begins = [set() for _ in range(self.longest + 1)]
+        begins = [{} for _ in range(self.longest + 1)]
         for piece, i in self.text.items():
             h = 0
             for k, c in enumerate(piece, 1):
                 h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
-                begins[k].add(h)
-            by_length[len(piece)].append((h, i))
+                begins[k].setdefault(h, -1)
+            begins[len(piece)][h] = i
         self.begins = [np.array(sorted(b), np.uint64) for b in begins]
-        self.hashes = [np.array([h for h, _ in sorted(b)], np.uint64) for b in by_length]
-        self.ids = [np.array([i for _, i in sorted(b)], np.int64) for b in by_length]
+        self.ids = [np.array([b[h] for h in sorted(b)], np.int64) for b in begins]
 
     def _clear(self):
         self.units = {}  # unit -> its number
         self.last = np.zeros(0, np.int64)  # node at the end of each unit
-        self.reach = np.zeros(0)  # node number + cumulative probability of its edges
+        self.first = np.zeros(0, np.int64)  # the first edge of each node
+        self.reach = np.zeros(0)  # cumulative probability of its edges
         self.edge_from, self.edge_piece = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.nodes = 0
 
@@ -110,18 +109,16 @@ class Model:
             h = h * _BASE + codes[place + length - 1] + np.uint64(1)
             begins = self.begins[length]
             at = np.minimum(np.searchsorted(begins, h), len(begins) - 1)
-            keep = begins[at] == h
-            place, h = place[keep], h[keep]
-            if not len(place):
+            keep = np.flatnonzero(begins[at] == h)
+            if not len(keep):
                 break
-            whole = self.hashes[length]
-            if len(whole):
-                at = np.minimum(np.searchsorted(whole, h), len(whole) - 1)
-                hit = whole[at] == h
-                piece = self.ids[length][at[hit]]
-                found.append((place[hit], place[hit] + length, piece, self.weight[piece]))
+            place, h, piece = place[keep], h[keep], self.ids[length][at[keep]]
+            hit = np.flatnonzero(piece >= 0)
+            if len(hit):
+                left, piece = place[hit], piece[hit]
+                found.append((left, left + length, piece, self.weight[piece]))
                 if length == 1:
-                    covered[place[hit]] = True
+                    covered[left] = True
         bare = np.flatnonzero(~covered)
         if len(bare):
             kinds, of = np.unique(codes[bare], return_inverse=True)
@@ -171,7 +168,8 @@ class Model:
         reach[first[1:] - 1] = 1.0
         self.units.update(zip(units, range(len(self.last), len(self.last) + len(units))))
         self.last = np.concatenate((self.last, number[ends - 1] + self.nodes))
-        self.reach = np.concatenate((self.reach, to + self.nodes + np.minimum(reach, 1.0)))
+        self.first = np.concatenate((self.first, first[:-1] + len(self.reach)))
+        self.reach = np.concatenate((self.reach, np.minimum(reach, 1.0)))
         self.edge_from = np.concatenate((self.edge_from, np.where(before >= 0, before + self.nodes, -1)))
         self.edge_piece = np.concatenate((self.edge_piece, piece))
         self.nodes += len(codes)
@@ -186,11 +184,12 @@ class Model:
         within = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         base = mix(np.repeat(keys, sizes) + within.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         # More distinct units than the cache holds are sampled in runs, each with no more.
-        run = len(flat) if len(set(flat)) <= CACHED_UNITS else CACHED_UNITS
+        run = len(flat) if len(flat) <= CACHED_UNITS or len(set(flat)) <= CACHED_UNITS else CACHED_UNITS
         done = [self._draw(flat[k : k + run], base[k : k + run]) for k in range(0, len(flat), run)]
         pieces, count = (np.concatenate(c) for c in zip(*done))
         bounds = np.concatenate(([0], np.cumsum(count)))[np.concatenate(([0], np.cumsum(sizes)))]
-        return [self._spell(pieces[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+        pieces, bounds = self._spell(pieces, bounds)
+        return [pieces[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
     def _draw(self, flat, base):
         """Pieces of the units of a list, and their number for each; ``base`` has the units' draws."""
@@ -202,13 +201,17 @@ class Model:
         if new:
             self.learn(list(new))
         units = self.units
-        which = np.array([units[u] for u in flat], np.int64)
+        which = np.fromiter(map(units.__getitem__, flat), np.int64, len(flat))
         node, active, steps = self.last[which], np.arange(len(which)), []
         step = 0
         while len(active):
             draw = (mix(base[active] + np.uint64(step)) >> np.uint64(12)).astype(np.float64) * 2.0**-52
-            # Below one even after rounding, so the draw never leaves its node.
-            edge = np.searchsorted(self.reach, node + np.minimum(draw, 1 - 1e-9), "right")
+            # A node has few edges, and the last one reaches 1.
+            edge = self.first[node]
+            short = np.flatnonzero(self.reach[edge] <= draw)
+            while len(short):
+                edge[short] += 1
+                short = short[self.reach[edge[short]] <= draw[short]]
             steps.append((active, self.edge_piece[edge]))
             node = self.edge_from[edge]
             active, node = active[node >= 0], node[node >= 0]
@@ -223,10 +226,21 @@ class Model:
             pieces[after[at] - 1 - k] = piece
         return pieces, count
 
-    def _spell(self, pieces):
-        if not len(pieces) or pieces.min() >= 0:
-            return pieces
-        return np.array([i for p in pieces.tolist() for i in ((p,) if p >= 0 else self.spelled[-1 - p])], np.int64)
+    def _spell(self, pieces, bounds):
+        """The pieces with byte pieces for characters that have none, and where the bounds come to lie."""
+        bare = np.flatnonzero(pieces < 0)
+        if not len(bare):
+            return pieces, bounds
+        lengths = np.array([len(s) for s in self.spelled])
+        which = -1 - pieces[bare]
+        sizes = np.ones(len(pieces), np.int64)
+        sizes[bare] = lengths[which]
+        after = np.concatenate(([0], np.cumsum(sizes)))
+        done, own = np.repeat(pieces, sizes), lengths[which]
+        within = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        spelled = np.array(list(itertools.chain.from_iterable(self.spelled)), np.int64)
+        done[np.repeat(after[bare], own) + within] = spelled[np.repeat((np.cumsum(lengths) - lengths)[which], own) + within]
+        return done, after[bounds]
 
     def decode(self, pieces):
         """The text of piece ids."""
