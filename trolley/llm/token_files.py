@@ -42,7 +42,7 @@ from trolley.llm.common import scratch, stored
 # Fixed values of the zstandard seekable format.
 SKIPPABLE, SEEK_TABLE, SEEKABLE_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 NO_ID = -(2**63)  # stands for a null doc_id in the files
-CACHED_WORDS = 500_000
+CACHED_WORDS = 800_000
 
 _encoders = {}
 
@@ -60,14 +60,15 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.dtype, self.recent, self.older, self.tails = dtype, {}, {}, {}
+        self.dtype, self.recent, self.older, self.tails, self.heads = dtype, {}, {}, {}, {}
         vocabulary = self.tokenizer.get_vocab()
         self.leads = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose bytes begin with a space
         self.leads[[i for token, i in vocabulary.items() if token[0] == "\u0120"]] = True
         self.line = self._ids("\n")[0]
 
     def _ids(self, text):
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
+        # The batch call gives the same ids and leaves out the offsets.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
 
     def _cut(self, text, leads):
         """Bytes of the words of a text, each beginning with an id of ``leads``."""
@@ -91,18 +92,20 @@ class Encoder:
     def _learn(self, words):
         """Add new words. Signs after a letter or digit are a token group of their own."""
         recent, tails = self.recent, self.tails
-        parts = []
+        whole, parts = [], []
         for word in words:
             stem = word.rstrip(_SIGNS)
-            if len(stem) == len(word) or not stem[-1:].isalnum():
-                parts.append((word, word, ""))
-            else:
+            if len(stem) < len(word) and stem[-1:].isalnum():
                 parts.append((word, stem, word[len(stem) :]))
-        new = list({stem for _, stem, _ in parts}.difference(recent))
-        recent.update(self._words(new))
+            else:
+                whole.append(word)
+        new = {stem for _, stem, _ in parts}.difference(recent)
+        new.update(whole)
+        recent.update(self._words(list(new)))
         for tail in {t for _, _, t in parts}.difference(tails):
-            tails[tail] = self._ids(tail).astype(self.dtype).tobytes() if tail else b""
-        recent.update((word, recent[stem] + tails[tail]) for word, stem, tail in parts if tail)
+            tails[tail] = self._ids(tail).astype(self.dtype).tobytes()
+        for word, stem, tail in parts:
+            recent[word] = recent[stem] + tails[tail]
         if len(tails) > CACHED_WORDS:
             tails.clear()
 
@@ -110,22 +113,53 @@ class Encoder:
         """Whether words of the text must not be encoded alone."""
         return _MEETING.search(text) is not None or any(token in text for token in self.added)
 
+    def _add(self, words):
+        """Have words that are not in ``recent`` there, from ``older`` if they were met before."""
+        recent, older, new = self.recent, self.older, []
+        for word in words:
+            known = older.get(word)
+            if known is None:
+                new.append(word)
+            else:
+                recent[word] = known
+        if new:
+            self._learn(new)
+
+    def _head(self, word):
+        """Bytes of the first word of a text, which has no space before it."""
+        head = self.heads.get(word)
+        if head is None:
+            if len(self.heads) >= CACHED_WORDS:
+                self.heads.clear()
+            head = self.heads[word] = self._ids(word).astype(self.dtype).tobytes() if word else b""
+        return head
+
     def encode(self, texts):
         """One byte string per text."""
-        split = [None if self._is_whole(t) else t.replace("\n", " \n").split(" ") for t in texts]
-        wanted = set().union(*[words[1:] for words in split if words])
-        recent, older = self.recent, self.older
-        missing = wanted.difference(recent)
-        again = missing.intersection(older)
-        recent.update((w, older[w]) for w in again)
-        self._learn(missing.difference(again))
-        done = []
-        for text, words in zip(texts, split):
-            first = text if words is None else words[0]  # the first word has no space before it
-            head = self._ids(first).astype(self.dtype).tobytes() if first else b""
-            done.append(head + b"".join([recent[w] for w in words[1:]]) if words else head)
-        if len(recent) > CACHED_WORDS:
-            self.recent, self.older = {}, recent
+        get, done, gaps, missing = self.recent.get, [], [], set()
+        for k, text in enumerate(texts):
+            if self._is_whole(text):
+                done.append(self._ids(text).astype(self.dtype).tobytes())
+                continue
+            words = text.replace("\n", " \n").split(" ")
+            parts = list(map(get, words))
+            parts[0] = self._head(words[0])
+            try:
+                done.append(b"".join(parts))
+            except TypeError:  # a word not met before
+                places = [i for i, part in enumerate(parts) if part is None]
+                missing.update([words[i] for i in places])
+                gaps.append((k, words, parts, places))
+                done.append(None)
+        if gaps:
+            self._add(missing)
+            recent = self.recent
+            for k, words, parts, places in gaps:
+                for i in places:
+                    parts[i] = recent[words[i]]
+                done[k] = b"".join(parts)
+        if len(self.recent) > CACHED_WORDS:
+            self.recent, self.older = {}, self.recent
         return done
 
 
