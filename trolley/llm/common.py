@@ -7,6 +7,8 @@ from trolley.session import work_folder
 # Words as every operator here takes them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+ARROW_BYTES = 4 << 20
+
 
 def table(spark, folder, name):
     """One table of a data folder."""
@@ -29,6 +31,17 @@ def stored(df, name):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark):
+    """Let Arrow batches hold at most ``ARROW_BYTES``, so that workers and buffers do not grow with long rows.
+
+    The session's setting is only ever lowered. A single longer row is a batch of its own.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name)
+    if not held.rstrip("b").isdigit() or int(held.rstrip("b")) > ARROW_BYTES:
+        spark.conf.set(name, ARROW_BYTES)
+
+
 def fresh(df, *names):
     """The names, each with underscores in front until no column is called so."""
     taken = {c.lower() for c in df.columns}

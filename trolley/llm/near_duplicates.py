@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trolley.llm.common import fresh, stored
+from trolley.llm.common import fresh, small_batches, stored
 from trolley.llm.components import components
 from trolley.llm.textscan import column_bytes, groups, mix, runs, word_hashes
 
@@ -219,6 +219,7 @@ def near_duplicates(docs, percent=80):
 
     Linked are documents whose sets have 100 * intersection >= percent * union.
     """
+    small_batches(docs.sparkSession)
     m = collection_size(percent)
     signed = stored(signatures(docs, m).withColumn("row", F.monotonically_increasing_id()), "dup_signatures")
     usable = signed.filter("n_shingles > 0 and doc_id is not null")

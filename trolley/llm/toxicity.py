@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trolley.llm.common import fresh
+from trolley.llm.common import fresh, small_batches
 from trolley.llm.textscan import column_bytes, groups, mix, word_hashes
 
 BITS = 22
@@ -124,6 +124,7 @@ def learn(docs, labels, sample=20_000, seed=11, **settings):
 
     One task holds the drawn rows' features, about ``sample`` rows of them.
     """
+    small_batches(docs.sparkSession)
     place = F.xxhash64(F.lit(seed), F.col("doc_id"))
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("label")
@@ -160,6 +161,7 @@ def learn(docs, labels, sample=20_000, seed=11, **settings):
 
 def score(docs, model, column="score"):
     """``docs`` with the score of each text, 0 to 1."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.DoubleType())
