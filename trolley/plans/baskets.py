@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.operators.enrich import combine, enrich_products
 from trolley.operators.pair import user_product_features
 from trolley.operators.rates import RATE_KEYS, rate_table
-from trolley.operators.training import training_set
+from trolley.operators.training import split, training_set
 from trolley.session import shared_dir, widen
 from trolley.sources import star
 from trolley.sources.tables import read_table, write_table
@@ -130,6 +130,12 @@ class Baskets:
             "training_set", lambda: training_set(self.pairs, self.train, self.rates)
         )
 
+    @cached_property
+    def parts(self):
+        """(train, validation) rows; stored, as fits pass over them many times."""
+        train, validation = split(self.training_set)
+        return self.stored("train_part", lambda: train), self.stored("validation_part", lambda: validation)
+
 
 _opened = {}
 
