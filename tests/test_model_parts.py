@@ -49,3 +49,12 @@ def test_tree_search_is_a_cross_validation_that_keeps_no_rows(rows, monkeypatch)
         assert model.stages[-1].toDebugString.split("\n")[1:] == wanted.bestModel.stages[-1].toDebugString.split("\n")[1:]
     with pytest.raises(ValueError):
         models.fit_decision_tree(rows.limit(1), grid, n_candidates=1, folds=3, seed=7)
+
+
+def test_fits_on_many_rows_run_one_at_a_time(rows, monkeypatch):
+    pools = []
+    monkeypatch.setattr(models, "ThreadPool", lambda n, make=models.ThreadPool: pools.append(n) or make(n))
+    grid = {"maxDepth": [1, 2]}
+    few = models.fit_decision_tree(rows, grid, n_candidates=2, folds=2)[1]
+    monkeypatch.setattr(models, "ROWS_AT_ONCE", 2 * rows.count() - 1)
+    assert models.fit_decision_tree(rows, grid, n_candidates=2, folds=2)[1] == few and pools == [2, 1]
