@@ -58,7 +58,7 @@ def targets(weighted, max_epochs=3):
     """
     cap = F.col("source_size") * max_epochs
     total, share = weighted.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.sum("weight")).first()
-    left, weight = total, F.col("weight")
+    left, weight = total, F.col("weight").cast("long")  # times the words left, beyond 32 bits
     while share:
         over = weight * F.lit(left) > cap * F.lit(share)
         clamped, free = weighted.agg(F.sum(F.when(over, cap)), F.sum(F.when(~over, weight))).first()
