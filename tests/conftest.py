@@ -2,6 +2,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -32,6 +33,15 @@ def baskets(spark):
     return open_baskets(spark, SMALL)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_rows_left():
+    """Rows that a module's tests keep in memory go with it."""
+    yield
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
+
+
 @pytest.fixture
 def settings(spark):
     """Set SQL settings for one test only."""

@@ -33,6 +33,45 @@ def both(monkeypatch, module, fit):
     return few, fit()
 
 
+@pytest.mark.parametrize("held", [True, False])
+@pytest.mark.parametrize("kind", ["fit_oblivious_trees", "fit_free_trees"])
+def test_trees_are_the_same(monkeypatch, parts, kind, held):
+    monkeypatch.setattr(boosting, "TREES_TOLD", 2)
+    validation = parts[1] if held else None
+    few, many = both(monkeypatch, boosting, lambda: getattr(boosting, kind)(
+        parts[0], validation, rounds=5, depth=4, step=0.4, n_bins=16, patience=2, columns=COLUMNS
+    ))
+    assert len(few.trees) == len(many.trees) > 0 and few.history == many.history and few.gains == many.gains
+    for a, b in zip(few.trees, many.trees):
+        assert (a.feature, a.bin, a.left, a.right, a.values) == (b.feature, b.bin, b.left, b.right, b.values)
+
+
+def test_splits_of_many_nodes_are_found_in_turns(monkeypatch, parts):
+    fit = lambda: boosting.fit_oblivious_trees(parts[0], rounds=2, depth=4, step=0.4, n_bins=16, columns=COLUMNS)
+    whole = fit()
+    rows = [boosting.pa.RecordBatch.from_arrays(
+        [boosting.pa.array([bytes([i % 7, i % 3]) for i in range(90)], boosting.pa.binary()), boosting.pa.array([float(i % 2) for i in range(90)]),
+         boosting.pa.array([False] * 90), boosting.pa.array([0.0] * 90)], names=["bins", "label", "held", "margin"]
+    )]
+    trees = []
+    for at_once in (1 << 13, 3):
+        monkeypatch.setattr(boosting, "NODES_AT_ONCE", at_once)
+        grower = boosting.FewRows(rows, [[1.0, 2.0, 3.0, 4.0, 5.0, 6.0], [1.0, 2.0]], 0.0, 1.0, 0.3, 0.0)
+        trees.append([boosting._grow(grow, grower, 2, 4, 1.0, 9, 1, False) for grow in (boosting._oblivious_tree, boosting._free_tree)])
+    assert trees[0] == trees[1] and len(whole.trees) == 2
+
+
+def test_many_leaves_are_no_literals(monkeypatch, parts):
+    model = boosting.fit_oblivious_trees(parts[0], rounds=3, depth=3, step=0.4, n_bins=16, columns=COLUMNS)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    native = models.score(model, parts[1])
+    rows = rows_of(native, "product_id", "p")
+    assert "Python" not in plan(native)
+    monkeypatch.setattr(boosting, "NATIVE_VALUES", 23)
+    assert "Python" in plan(models.score(model, parts[1]))
+    assert np.allclose(rows, rows_of(models.score(model, parts[1]), "product_id", "p"), atol=1e-12)
+
+
 @pytest.mark.parametrize("held", [True, False])
 def test_networks_are_the_same(monkeypatch, parts, held):
     validation = parts[1] if held else None
